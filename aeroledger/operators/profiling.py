@@ -93,7 +93,9 @@ def low_cardinality(df: DataFrame, k: int = LOW_CARDINALITY) -> DataFrame:
     """The values of every column that has fewer than ``k`` of them, NULL included."""
     values = _value_counts(df).select("column_name", "value")
     few = values.groupBy("column_name").agg(F.count("*").alias("n")).filter(F.col("n") < k)
-    return values.join(few, "column_name", "left_semi")
+    # An inner join, as Spark would move a semi join below the aggregation, where
+    # the two sides no longer share their shuffle and the table is read twice.
+    return values.join(few, "column_name").select("column_name", "value")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -14,80 +14,80 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class Measure:
-    """One output column: what to aggregate per fact key, how to combine it, what to report."""
+    """One output column, as SQL expressions.
+
+    ``partial`` is aggregated per fact key, ``combine`` over the enriched
+    partial rows, and ``result`` is what the output shows.
+    """
 
     name: str
-    result: Column
-    combine: dict[str, Column]
-    partial: dict[str, Column] = field(default_factory=dict)
+    result: str
+    combine: dict[str, str]
+    partial: dict[str, str] = field(default_factory=dict)
 
 
-def _quotient(name: str, digits: int, percent: bool) -> Column:
-    value = F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_n"))
-    return F.round(value * 100 if percent else value, digits)
+def _quotient(name: str, digits: int, percent: bool) -> str:
+    value = f"try_divide({name}_sum, {name}_n)"
+    return f"round({value} * 100, {digits})" if percent else f"round({value}, {digits})"
 
 
 def counted(name: str) -> Measure:
     """Number of facts."""
-    return Measure(name, F.col(name), {name: F.sum(name)}, {name: F.count("*")})
+    return Measure(name, name, {name: f"sum({name})"}, {name: "count(*)"})
 
 
-def added(name: str, value: Column) -> Measure:
-    """Sum of a fact column."""
-    return Measure(name, F.col(name), {name: F.sum(name)}, {name: F.sum(value)})
+def added(name: str, value: str) -> Measure:
+    """Sum of a fact expression."""
+    return Measure(name, name, {name: f"sum({name})"}, {name: f"sum({value})"})
 
 
-def largest(name: str, value: Column) -> Measure:
-    """Maximum of a fact column."""
-    return Measure(name, F.col(name), {name: F.max(name)}, {name: F.max(value)})
+def largest(name: str, value: str) -> Measure:
+    """Maximum of a fact expression."""
+    return Measure(name, name, {name: f"max({name})"}, {name: f"max({value})"})
 
 
-def averaged(name: str, value: Column, digits: int, percent: bool = False) -> Measure:
-    """Rounded mean of the non-NULL values of a fact column, or their percentage if flags."""
+def averaged(name: str, value: str, digits: int, percent: bool = False) -> Measure:
+    """Rounded mean of the non-NULL values of a fact expression, or their percentage if flags."""
     total, count = f"{name}_sum", f"{name}_n"
     return Measure(
         name,
         _quotient(name, digits, percent),
-        {total: F.sum(total), count: F.sum(count)},
-        {total: F.sum(value), count: F.count(value)},
+        {total: f"sum({total})", count: f"sum({count})"},
+        {total: f"sum({value})", count: f"count({value})"},
     )
 
 
-def added_over(name: str, value: Column, facts: str) -> Measure:
-    """Sum over facts of a dimension column; ``facts`` counts the facts of a partial row."""
-    return Measure(name, F.col(name), {name: F.sum(value * F.col(facts))})
+def added_over(name: str, value: str, facts: str) -> Measure:
+    """Sum over facts of a dimension expression; ``facts`` counts the facts of a partial row."""
+    return Measure(name, name, {name: f"sum({value} * {facts})"})
 
 
-def averaged_over(name: str, value: Column, facts: str, digits: int, percent: bool = False) -> Measure:
-    """Rounded mean over facts of a dimension column; ``facts`` as in :func:`added_over`."""
-    weight = F.col(facts)
-    return Measure(
-        name,
-        _quotient(name, digits, percent),
-        {f"{name}_sum": F.sum(value * weight), f"{name}_n": F.sum(F.when(value.isNotNull(), weight))},
-    )
+def averaged_over(name: str, value: str, facts: str, digits: int, percent: bool = False) -> Measure:
+    """Rounded mean over facts of a dimension expression; ``facts`` as in :func:`added_over`."""
+    combine = {
+        f"{name}_sum": f"sum({value} * {facts})",
+        f"{name}_n": f"sum(CASE WHEN {value} IS NOT NULL THEN {facts} END)",
+    }
+    return Measure(name, _quotient(name, digits, percent), combine)
 
 
 def reduce_facts(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """One row of partial results per fact key."""
-    partial = {name: value for m in measures for name, value in m.partial.items()}
-    return df.groupBy(*keys).agg(*[value.alias(name) for name, value in partial.items()])
+    partial = {name: sql for m in measures for name, sql in m.partial.items()}
+    return df.groupBy(*keys).agg(*[F.expr(f"{sql} AS {name}") for name, sql in partial.items()])
 
 
 def combine(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Combine partial rows per result key and finish the measures."""
-    merged = {name: value for m in measures for name, value in m.combine.items()}
-    return (
-        df.groupBy(*keys)
-        .agg(*[value.alias(name) for name, value in merged.items()])
-        .select(*keys, *[m.result.alias(m.name) for m in measures])
-    )
+    merged = {name: sql for m in measures for name, sql in m.combine.items()}
+    combined = df.groupBy(*keys).agg(*[F.expr(f"{sql} AS {name}") for name, sql in merged.items()])
+    return combined.selectExpr(*keys, *[f"{m.result} AS {m.name}" for m in measures])
 
 
 def summarize(

@@ -7,11 +7,11 @@ of partial results, and the joins run on the reduced rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from aeroledger.functions.fixed_values import OPERATION_MONTHS
-from aeroledger.functions.measures import flag
 from aeroledger.operators.joins import with_airport, with_weather
 from aeroledger.operators.profiling import join_coverage
 from aeroledger.operators.rows import union_operations
@@ -38,70 +38,79 @@ ROUTE_KEYS = [
 SKY_KEYS = ["weather_season", "wind_category", "pressure_category", "is_precipitation", "dep_region"]
 DAY_KEYS = ["dep_airport", "flightdate"]
 
+# Flags are 1 or 0, and NULL where the tested column is NULL.
+DELAYED = "int(dep_delay > 0)"
+ON_TIME = "int(dep_delay <= 0)"
+CANCELLED = "int(cancelled = 1)"
+DIVERTED = "int(diverted = 1)"
+# A weather record without a wind reading counts as no match.
+HAS_WEATHER = "int(wind_category IS NOT NULL)"
 
-def _is(col: str, value: object):
-    return flag(F.col(col) == value)
 
+def _cause(label: str) -> str:
+    return f"int(primary_delay_cause = '{label}')"
 
-def _sky_measures(facts: str) -> list[Measure]:
-    """Means over facts of the weather they met."""
-    columns = {
-        "avg_temp_c": ("temp_avg_c", 1),
-        "avg_temp_range_c": ("temp_range_c", 1),
-        "avg_wind_speed_kmh": ("wind_speed_kmh", 1),
-        "avg_precipitation_mm": ("precipitation_mm", 2),
-        "avg_snowfall_mm": ("snowfall_mm", 2),
-    }
-    return [averaged_over(name, F.col(c), facts, digits) for name, (c, digits) in columns.items()]
+
+def _status(label: str) -> str:
+    return f"int(flight_status = '{label}')"
+
+
+def _share(name: str, flag: str, digits: int) -> Measure:
+    return averaged(name, flag, digits, percent=True)
 
 
 def _match_measures(name: str, facts: str) -> list[Measure]:
-    """Facts with weather, tested on the wind category as the reports expect, and their share."""
-    found = flag(F.col("wind_category").isNotNull())
+    """Facts that met a weather record, and their share."""
     return [
-        added_over(name, found, facts),
-        averaged_over("weather_match_pct", found, facts, 1, percent=True),
+        added_over(name, HAS_WEATHER, facts),
+        averaged_over("weather_match_pct", HAS_WEATHER, facts, 1, percent=True),
     ]
 
 
-def _with_sky(weather: DataFrame, airports: DataFrame):
-    def enrich(partial: DataFrame) -> DataFrame:
-        return with_airport(with_weather(partial, weather), airports, columns=["us_region"])
+def _sky_measures(facts: str) -> list[Measure]:
+    """Means over facts of the weather they met."""
+    return [
+        averaged_over("avg_temp_c", "temp_avg_c", facts, 1),
+        averaged_over("avg_temp_range_c", "temp_range_c", facts, 1),
+        averaged_over("avg_wind_speed_kmh", "wind_speed_kmh", facts, 1),
+        averaged_over("avg_precipitation_mm", "precipitation_mm", facts, 2),
+        averaged_over("avg_snowfall_mm", "snowfall_mm", facts, 2),
+    ]
 
-    return enrich
+
+def _with_sky(weather: DataFrame, airports: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: with_airport(with_weather(df, weather), airports, columns=["us_region"])
 
 
 def flight_performance(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """Completed flights per airline, route, month and distance; 22 columns."""
-    delay, cause = F.col("dep_delay"), "primary_delay_cause"
     measures = [
         counted("total_flights"),
-        averaged("avg_dep_delay_min", delay, 1),
-        averaged("avg_arr_delay_min", F.col("arr_delay"), 1),
-        largest("max_dep_delay_min", delay),
-        averaged("avg_flight_duration_min", F.col("flight_duration"), 1),
-        averaged("avg_total_delay_min", F.col("total_delay_minutes"), 1),
-        averaged("on_time_pct", flag(delay <= 0), 1, percent=True),
-        averaged("delayed_pct", flag(delay > 0), 1, percent=True),
-        averaged("carrier_delay_pct", _is(cause, "Carrier"), 1, percent=True),
-        averaged("weather_delay_pct", _is(cause, "Weather"), 1, percent=True),
-        averaged("nas_delay_pct", _is(cause, "NAS"), 1, percent=True),
-        averaged("aircraft_delay_pct", _is(cause, "LastAircraft"), 1, percent=True),
+        averaged("avg_dep_delay_min", "dep_delay", 1),
+        averaged("avg_arr_delay_min", "arr_delay", 1),
+        largest("max_dep_delay_min", "dep_delay"),
+        averaged("avg_flight_duration_min", "flight_duration", 1),
+        averaged("avg_total_delay_min", "total_delay_minutes", 1),
+        _share("on_time_pct", ON_TIME, 1),
+        _share("delayed_pct", DELAYED, 1),
+        _share("carrier_delay_pct", _cause("Carrier"), 1),
+        _share("weather_delay_pct", _cause("Weather"), 1),
+        _share("nas_delay_pct", _cause("NAS"), 1),
+        _share("aircraft_delay_pct", _cause("LastAircraft"), 1),
     ]
-    return summarize(flights, ROUTE_FACT_KEYS, lambda p: with_airport(p, airports), ROUTE_KEYS, measures)
+    return summarize(flights, ROUTE_FACT_KEYS, lambda df: with_airport(df, airports), ROUTE_KEYS, measures)
 
 
 def weather_delay_impact(flights: DataFrame, weather: DataFrame, airports: DataFrame) -> DataFrame:
     """Completed flights per kind of weather and region; 17 columns."""
-    delay, facts = F.col("dep_delay"), "total_flights"
     measures = [
-        counted(facts),
-        *_match_measures("flights_with_weather", facts),
-        averaged("avg_dep_delay_min", delay, 1),
-        averaged("avg_arr_delay_min", F.col("arr_delay"), 1),
-        averaged("delayed_flight_pct", flag(delay > 0), 1, percent=True),
-        averaged("avg_total_delay_min", F.col("total_delay_minutes"), 1),
-        *_sky_measures(facts),
+        counted("total_flights"),
+        *_match_measures("flights_with_weather", "total_flights"),
+        averaged("avg_dep_delay_min", "dep_delay", 1),
+        averaged("avg_arr_delay_min", "arr_delay", 1),
+        _share("delayed_flight_pct", DELAYED, 1),
+        averaged("avg_total_delay_min", "total_delay_minutes", 1),
+        *_sky_measures("total_flights"),
     ]
     return summarize(flights, DAY_KEYS, _with_sky(weather, airports), SKY_KEYS, measures)
 
@@ -112,21 +121,20 @@ def cancellation_analysis(cancelled: DataFrame, airports: DataFrame) -> DataFram
     The rates are shares of failed flights only; ``ops_summary`` has the shares
     of all scheduled flights.
     """
-    is_cancelled, is_diverted = _is("cancelled", 1), _is("diverted", 1)
-    diverted_delay = F.when(F.col("diverted") == 1, F.col("dep_delay"))
+    diverted_delay = "CASE WHEN diverted = 1 THEN dep_delay END"
     measures = [
         counted("total_events"),
-        added("cancelled_count", is_cancelled),
-        added("diverted_count", is_diverted),
-        averaged("cancellation_rate_pct", is_cancelled, 2, percent=True),
-        averaged("diversion_rate_pct", is_diverted, 2, percent=True),
+        added("cancelled_count", CANCELLED),
+        added("diverted_count", DIVERTED),
+        _share("cancellation_rate_pct", CANCELLED, 2),
+        _share("diversion_rate_pct", DIVERTED, 2),
         averaged("diverted_avg_dep_delay_min", diverted_delay, 1),
         largest("diverted_max_dep_delay_min", diverted_delay),
     ]
     return summarize(
         cancelled,
         [*ROUTE_FACT_KEYS, "weekday_name"],
-        lambda p: with_airport(p, airports),
+        lambda df: with_airport(df, airports),
         [*ROUTE_KEYS, "weekday_name"],
         measures,
     )
@@ -134,15 +142,14 @@ def cancellation_analysis(cancelled: DataFrame, airports: DataFrame) -> DataFram
 
 def weather_cancellation(cancelled: DataFrame, weather: DataFrame, airports: DataFrame) -> DataFrame:
     """Failed flights per kind of weather, region and month; 18 columns."""
-    is_cancelled, is_diverted, facts = _is("cancelled", 1), _is("diverted", 1), "total_events"
     measures = [
-        counted(facts),
-        *_match_measures("events_with_weather", facts),
-        added("cancelled_count", is_cancelled),
-        added("diverted_count", is_diverted),
-        averaged("cancellation_rate_pct", is_cancelled, 2, percent=True),
-        averaged("diversion_rate_pct", is_diverted, 2, percent=True),
-        *_sky_measures(facts),
+        counted("total_events"),
+        *_match_measures("events_with_weather", "total_events"),
+        added("cancelled_count", CANCELLED),
+        added("diverted_count", DIVERTED),
+        _share("cancellation_rate_pct", CANCELLED, 2),
+        _share("diversion_rate_pct", DIVERTED, 2),
+        *_sky_measures("total_events"),
     ]
     return summarize(
         cancelled,
@@ -157,36 +164,35 @@ def ops_summary(
     flights: DataFrame,
     cancelled: DataFrame,
     airports: DataFrame,
-    months: list[int] = OPERATION_MONTHS,
+    months: Sequence[int] = OPERATION_MONTHS,
 ) -> DataFrame:
     """All scheduled flights of a span of months per airline, route and weekday; 23 columns."""
-    delay, status = F.col("dep_delay"), "flight_status"
     measures = [
         counted("total_scheduled"),
-        added("completed_count", _is(status, "Completed")),
-        added("cancelled_count", _is(status, "Cancelled")),
-        added("diverted_count", _is(status, "Diverted")),
-        averaged("completion_rate_pct", _is(status, "Completed"), 2, percent=True),
-        averaged("cancellation_rate_pct", _is(status, "Cancelled"), 2, percent=True),
-        averaged("diversion_rate_pct", _is(status, "Diverted"), 2, percent=True),
-        averaged("avg_dep_delay_min", delay, 1),
-        averaged("avg_arr_delay_min", F.col("arr_delay"), 1),
-        averaged("avg_flight_duration_min", F.col("flight_duration"), 1),
-        averaged("on_time_pct", flag(delay <= 0), 1, percent=True),
-        averaged("delayed_pct", flag(delay > 0), 1, percent=True),
+        added("completed_count", _status("Completed")),
+        added("cancelled_count", _status("Cancelled")),
+        added("diverted_count", _status("Diverted")),
+        _share("completion_rate_pct", _status("Completed"), 2),
+        _share("cancellation_rate_pct", _status("Cancelled"), 2),
+        _share("diversion_rate_pct", _status("Diverted"), 2),
+        averaged("avg_dep_delay_min", "dep_delay", 1),
+        averaged("avg_arr_delay_min", "arr_delay", 1),
+        averaged("avg_flight_duration_min", "flight_duration", 1),
+        _share("on_time_pct", ON_TIME, 1),
+        _share("delayed_pct", DELAYED, 1),
     ]
     return summarize(
         union_operations(flights, cancelled, months),
         [*ROUTE_FACT_KEYS, "weekday_name"],
-        lambda p: with_airport(p, airports),
+        lambda df: with_airport(df, airports),
         [*ROUTE_KEYS, "weekday_name"],
         measures,
     )
 
 
 def weather_coverage(
-    facts: DataFrame, weather: DataFrame, airports: DataFrame, by: tuple[str, ...] = ()
+    facts: DataFrame, weather: DataFrame, airports: DataFrame, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Facts that met a weather record with a wind category, in all or per ``by`` column."""
+    """Facts that met a weather record, in all or per ``by`` column."""
     daily = reduce_facts(facts, [*DAY_KEYS, *by], [counted("facts")])
     return join_coverage(_with_sky(weather, airports)(daily), "wind_category", by, facts="facts")
