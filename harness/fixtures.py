@@ -13,6 +13,8 @@ from tempfile import mkdtemp
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aeroledger.settings import raise_shuffle_partitions
+
 SPARK = {
     "dmy": "date_format(l.flown, 'dd-MM-yyyy')",
     "dow": "weekday({}) + 1",
@@ -116,9 +118,13 @@ SOURCE_TABLE = {"flights": "lineitem", "cancelled": "lineitem", "weather": "orde
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A raw input as a lazy DataFrame."""
+    """A raw input as a lazy DataFrame.
+
+    A session that was not sized for the table gets more shuffle partitions.
+    """
     source = SOURCE_TABLE[name]
     df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    raise_shuffle_partitions(spark, df)
     return spark.sql(raw_sql(name, SPARK, lambda t: "{" + t + "}"), **{source: df})
 
 
