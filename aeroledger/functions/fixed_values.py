@@ -13,6 +13,9 @@ RAW_FILES = {
     "airports": "airports_geolocation.csv",
 }
 
+# Folders of tables that are not named like the table.
+TABLE_FOLDERS = {"cancelled": "cancelled_flights", "ops_summary": "ops_summary_3month"}
+
 RAW_SCHEMAS = {
     "flights": """
         FlightDate string, Day_Of_Week int, Airline string, Tail_Number string,

@@ -7,6 +7,8 @@ and months it needs.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from aeroledger.functions.fixed_values import (
@@ -18,7 +20,8 @@ from aeroledger.functions.fixed_values import (
 from aeroledger.operators.profiling import audit
 from aeroledger.plans import gold
 from aeroledger.plans.silver import SILVER
-from aeroledger.sources.files import ingest, read_table, write_table
+from aeroledger.sources.files import ingest, read_table, table_path, write_table
+from aeroledger.sources.jdbc import write_jdbc
 
 # Gold table -> (builder, silver tables it reads, in the builder's order).
 GOLD = {
@@ -32,7 +35,7 @@ GOLD = {
 
 def read_silver(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A written silver table in its contract's column order."""
-    return read_table(spark, f"{base}/silver/{name}", SILVER_SCHEMAS[name])
+    return read_table(spark, table_path(f"{base}/silver", name), SILVER_SCHEMAS[name])
 
 
 def build_bronze(spark: SparkSession, name: str, raw: str, base: str) -> None:
@@ -42,15 +45,22 @@ def build_bronze(spark: SparkSession, name: str, raw: str, base: str) -> None:
 
 def build_silver(spark: SparkSession, name: str, base: str) -> None:
     """Write one silver table from its bronze table."""
-    bronze = read_table(spark, f"{base}/bronze/{name}")
-    write_table(SILVER[name](bronze), f"{base}/silver/{name}", SILVER_PARTITIONS[name])
+    bronze = read_table(spark, table_path(f"{base}/bronze", name))
+    write_table(SILVER[name](bronze), table_path(f"{base}/silver", name), SILVER_PARTITIONS[name])
 
 
 def build_gold(spark: SparkSession, name: str, base: str) -> None:
     """Write one gold table from its silver tables."""
     build, sources = GOLD[name]
     table = build(*[read_silver(spark, base, s) for s in sources])
-    write_table(table, f"{base}/gold/{name}", GOLD_PARTITIONS[name])
+    write_table(table, table_path(f"{base}/gold", name), GOLD_PARTITIONS[name])
+
+
+def export_flights(
+    spark: SparkSession, base: str, url: str, properties: Mapping[str, str], table: str = "silver_flights"
+) -> None:
+    """Copy the silver flights to a database table."""
+    write_jdbc(read_silver(spark, base, "flights"), url, table, properties)
 
 
 def build_all(spark: SparkSession, raw: str, base: str) -> DataFrame:
@@ -67,7 +77,7 @@ def build_all(spark: SparkSession, raw: str, base: str) -> DataFrame:
     layers = {"bronze": RAW_FILES, "silver": SILVER, "gold": GOLD}
     return audit(
         {
-            f"{layer}_{name}": read_table(spark, f"{base}/{layer}/{name}")
+            f"{layer}_{name}": read_table(spark, table_path(f"{base}/{layer}", name))
             for layer, names in layers.items()
             for name in names
         }

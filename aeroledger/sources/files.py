@@ -8,23 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from aeroledger.functions.fixed_values import RAW_FILES, RAW_SCHEMAS
+from aeroledger.functions.fixed_values import RAW_FILES, RAW_SCHEMAS, TABLE_FOLDERS
 
 # About 1 GB for the widest table, so that no file of a hot month grows without bound.
 MAX_RECORDS_PER_FILE = 10_000_000
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+def table_path(base: str, name: str) -> str:
+    """Folder of a table below its layer's folder."""
+    return f"{base}/{TABLE_FOLDERS.get(name, name)}"
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, schema: str | StructType | None = None, mode: str = "FAILFAST"
+) -> DataFrame:
     """CSV with a header. Without a schema Spark reads the file once more to infer it.
 
-    The header has to name the schema's columns in order; a file with moved
-    columns is an error instead of values in the wrong column.
+    With a schema the header has to name its columns in order, and a cell that
+    does not fit its type stops the scan, so no value moves to another column
+    or turns into NULL unnoticed; ``mode="PERMISSIVE"`` reads such cells as NULL.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         reader = reader.option("inferSchema", True)
     else:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema).option("enforceSchema", False).option("mode", mode)
     return reader.csv(path)
 
 
@@ -58,4 +66,4 @@ def read_table(spark: SparkSession, path: str, schema: str | StructType | None =
 def ingest(spark: SparkSession, name: str, raw: str, bronze: str) -> None:
     """Copy one raw CSV data set to its bronze parquet table."""
     source = read_raw_csv(spark, f"{raw}/{RAW_FILES[name]}", RAW_SCHEMAS[name])
-    write_table(source, f"{bronze}/{name}")
+    write_table(source, table_path(bronze, name))

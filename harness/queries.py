@@ -92,7 +92,7 @@ def _ingest_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = _csv(spark, sf_dir, name)
         files.ingest(spark, name, folder, f"{folder}/bronze")
-        return files.read_table(spark, f"{folder}/bronze/{name}")
+        return files.read_table(spark, files.table_path(f"{folder}/bronze", name))
 
     return run
 

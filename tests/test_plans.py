@@ -18,7 +18,7 @@ def base(spark, sf_dir, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("lake"))
     for name in fixed.RAW_FILES:
         df = Tables(spark, sf_dir).silver(name)
-        files.write_table(df, f"{path}/silver/{name}", fixed.SILVER_PARTITIONS[name])
+        files.write_table(df, files.table_path(f"{path}/silver", name), fixed.SILVER_PARTITIONS[name])
     return path
 
 

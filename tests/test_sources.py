@@ -25,6 +25,21 @@ def test_csv_with_moved_columns_is_an_error(spark, tmp_path):
         files.read_raw_csv(spark, str(tmp_path / "a.csv"), fixed.RAW_SCHEMAS["airports"]).collect()
 
 
+def test_csv_scan_of_some_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time,airport_id,tavg,tmin,tmax,prcp,snow,wdir,wspd,pres\n2023-01-01,n1,1,2,3,,,,4,5\n")
+    df = files.read_raw_csv(spark, str(tmp_path / "a.csv"), fixed.RAW_SCHEMAS["weather"])
+    assert df.count() == 1
+    assert tuple(df.select("wspd", "airport_id").first()) == (4.0, "n1")
+
+
+def test_csv_cell_of_another_type_stops_the_scan(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time,airport_id,tavg,tmin,tmax,prcp,snow,wdir,wspd,pres\n2023-01-01,n1,x,2,3,,,,4,5\n")
+    path, schema = str(tmp_path / "a.csv"), fixed.RAW_SCHEMAS["weather"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_raw_csv(spark, path, schema).collect()
+    assert files.read_raw_csv(spark, path, schema, mode="PERMISSIVE").first().tavg is None
+
+
 def test_csv_inference(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b,c\n1,2023-01-05,05-01-2023\n2,2023-01-06,06-01-2023\n")
     assert files.read_raw_csv(spark, str(tmp_path / "a.csv")).dtypes == [("a", "int"), ("b", "date"), ("c", "string")]
@@ -71,7 +86,7 @@ def test_ingest_each_dataset(spark, sf_dir, tmp_path):
         raw = fixtures.raw(spark, sf_dir, name)
         fixtures.write_raw_csv(raw, f"{tmp_path}/raw/{file}")
         files.ingest(spark, name, f"{tmp_path}/raw", f"{tmp_path}/bronze")
-        bronze = files.read_table(spark, f"{tmp_path}/bronze/{name}")
+        bronze = files.read_table(spark, files.table_path(f"{tmp_path}/bronze", name))
         assert bronze.dtypes == raw.dtypes
         assert ordered(bronze) == ordered(raw)
 
