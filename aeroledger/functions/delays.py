@@ -1,34 +1,35 @@
-"""Totals over the delay cause columns and the cause that dominates."""
+"""Totals over the delay cause columns and the cause that dominates.
+
+Guards are SQL conditions such as ``"Cancelled = 1"``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
-from operator import add, and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _total(cols: Iterable[str]) -> Column:
-    return reduce(add, [F.coalesce(F.col(c), F.lit(0)) for c in cols]).cast("int")
+def _total(cols: Iterable[str]) -> str:
+    return "int(" + " + ".join(f"coalesce({c}, 0)" for c in cols) + ")"
 
 
 def sum_or_null(cols: Iterable[str]) -> Column:
     """Sum with NULL as 0, but NULL when every column is NULL."""
     cols = list(cols)
-    return F.when(F.coalesce(*cols).isNotNull(), _total(cols))
+    return F.expr(f"CASE WHEN coalesce({', '.join(cols)}) IS NOT NULL THEN {_total(cols)} END")
 
 
-def sum_unless(cols: Iterable[str], guard: Column) -> Column:
+def sum_unless(cols: Iterable[str], guard: str) -> Column:
     """Sum with NULL as 0, but NULL where the guard holds; a NULL guard does not hold."""
-    return F.when(~F.coalesce(guard, F.lit(False)), _total(cols))
+    return F.expr(f"CASE WHEN ({guard}) IS NOT TRUE THEN {_total(cols)} END")
 
 
 def argmax_label(
     causes: Mapping[str, str],
     total: str,
-    blank_when: Column | None = None,
+    blank_when: str | None = None,
     nulls_as_zero: bool = False,
 ) -> Column:
     """Label of the largest cause, the earlier one on a tie.
@@ -39,9 +40,9 @@ def argmax_label(
     moves on to the next cause; ``nulls_as_zero`` compares NULL as 0 instead.
     """
     labels = list(causes)
-    minutes = [F.coalesce(c, F.lit(0)) if nulls_as_zero else c for c in map(F.col, causes.values())]
-    blank = F.col(total).isNull() if blank_when is None else blank_when
-    chain = F.when(blank, F.lit(None).cast("string")).when(F.col(total) == 0, "None")
+    minutes = [f"coalesce({c}, 0)" if nulls_as_zero else c for c in causes.values()]
+    cases = [f"WHEN {blank_when or f'{total} IS NULL'} THEN NULL", f"WHEN {total} = 0 THEN 'None'"]
     for i, label in enumerate(labels[:-1]):
-        chain = chain.when(reduce(and_, [minutes[i] >= later for later in minutes[i + 1 :]]), label)
-    return chain.otherwise(labels[-1])
+        largest = " AND ".join(f"{minutes[i]} >= {later}" for later in minutes[i + 1 :])
+        cases.append(f"WHEN {largest} THEN '{label}'")
+    return F.expr(f"CASE {' '.join(cases)} ELSE '{labels[-1]}' END")

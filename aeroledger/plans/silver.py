@@ -58,7 +58,7 @@ def clean_cancelled(df: DataFrame, distance_standard: str = "long") -> DataFrame
         raise ValueError(f"distance_standard must be 'long' or 'short', not {distance_standard!r}")
     to_long = distance_standard == "long"
     distances = fixed.LONG_DISTANCE_LABELS if to_long else fixed.SHORT_DISTANCE_LABELS
-    never_left = F.col("Cancelled") == 1
+    never_left = "Cancelled = 1"
 
     df = shaping.trim_strings(df)
     df = shaping.upper_cols(df, ["Dep_Airport", "Arr_Airport"])
@@ -73,7 +73,7 @@ def clean_cancelled(df: DataFrame, distance_standard: str = "long") -> DataFrame
         }
     )
     # The blanks have to come before the totals and causes that read them.
-    df = shaping.nullify(df, fixed.BLANK_WHEN_CANCELLED, never_left)
+    df = shaping.nullify(df, fixed.BLANK_WHEN_CANCELLED, F.expr(never_left))
     df = df.withColumn("Total_Delay_Minutes", delays.sum_unless(fixed.DELAY_CAUSES.values(), never_left))
     cause = delays.argmax_label(fixed.DELAY_CAUSES, "Total_Delay_Minutes", blank_when=never_left)
     return _finish(df.withColumn("Primary_Delay_Cause", cause), "cancelled")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 from tempfile import mkdtemp
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,14 +118,21 @@ FROM {table("customer")} WHERE c_nationkey<>3"""
 SOURCE_TABLE = {"flights": "lineitem", "cancelled": "lineitem", "weather": "orders", "airports": "customer"}
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A raw input as a lazy DataFrame.
+@lru_cache(maxsize=None)
+def _source(spark: SparkSession, path: str) -> DataFrame:
+    """A given table, opened once per session.
 
     A session that was not sized for the table gets more shuffle partitions.
     """
-    source = SOURCE_TABLE[name]
-    df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    df = spark.read.parquet(path)
     raise_shuffle_partitions(spark, df)
+    return df
+
+
+def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A raw input as a lazy DataFrame."""
+    source = SOURCE_TABLE[name]
+    df = _source(spark, f"{sf_dir}/{source}.parquet")
     return spark.sql(raw_sql(name, SPARK, lambda t: "{" + t + "}"), **{source: df})
 
 

@@ -168,7 +168,7 @@ def e4_total_delay(spark, sf_dir):
 
 
 def _failed_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total = delays.sum_unless(CAUSES, F.col("Cancelled") == 1)
+    total = delays.sum_unless(CAUSES, "Cancelled = 1")
     return raw(spark, sf_dir, "cancelled").select("Cancelled", *CAUSES, total.alias("total_delay"))
 
 
@@ -194,7 +194,7 @@ def e6_primary_cause_fixed(spark, sf_dir):
 
 @query
 def e7_primary_cause_diverted(spark, sf_dir):
-    cause = delays.argmax_label(fixed.DELAY_CAUSES, "total_delay", blank_when=F.col("Cancelled") == 1)
+    cause = delays.argmax_label(fixed.DELAY_CAUSES, "total_delay", blank_when="Cancelled = 1")
     return _failed_with_total(spark, sf_dir).withColumn("primary_cause", cause)
 
 
