@@ -107,6 +107,18 @@ def test_hot_keys_are_split_in_row_joins(spark, stored, conf, hot_key):
     assert ordered(joined.groupBy("dep_airport", "wind_category").count()) == small
 
 
+def test_hot_airport_is_split_when_airports_are_not_broadcast(spark, stored, conf):
+    facts = spark.range(0, 300000, numPartitions=16).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'N00' ELSE concat('N', lpad(id % 500, 3, '0')) END AS dep_airport",
+        "sha2(string(id), 256) AS payload",
+    )
+    small = ordered(joins.with_airport(facts, stored["airports"]).groupBy("dep_airport", "dep_region").count())
+    conf(HOT)
+    joined = joins.with_airport(facts, stored["airports"])
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
+    assert ordered(joined.groupBy("dep_airport", "dep_region").count()) == small
+
+
 def test_copies_collapse_before_the_shuffle(spark):
     df = spark.range(0, 90000, numPartitions=8).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS a", "'x' AS b")
     plan = final_plan(rows.drop_copies(df))

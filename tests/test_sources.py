@@ -131,6 +131,18 @@ def test_jdbc_settings():
     assert Frame.write.call == {"url": "jdbc:x", "table": "silver_flights", "properties": login}
 
 
+def test_export_copies_the_silver_flights(spark, sf_dir, tmp_path, monkeypatch):
+    base, calls = str(tmp_path), []
+    fixtures.raw(spark, sf_dir, "flights").write.parquet(f"{base}/bronze/flights")
+    medallion.build_silver(spark, "flights", base)
+    monkeypatch.setattr(medallion, "write_jdbc", lambda *args: calls.append(args))
+    medallion.export_flights(spark, base, "jdbc:x", {"driver": "d"})
+    (df, url, table, properties), = calls
+    assert (url, table, properties) == ("jdbc:x", "silver_flights", {"driver": "d"})
+    assert df.columns[:4] == ["flightdate", "flight_year", "flight_month", "flight_day"]
+    assert df.count() == medallion.read_silver(spark, base, "flights").count()
+
+
 def test_scratch_is_new_and_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = fixtures.scratch_dir(spark), fixtures.scratch_dir(spark)
