@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.llm import byte_bpe, language_id, token_counts, url_reputation
+from aeroledger.llm import byte_bpe, graph_ann, language_id, simhash_trie, token_counts, url_reputation
 from aeroledger.llm.url_reputation import Rule
 
 URL_RULES = (
@@ -61,11 +61,22 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op5_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_trie.components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_trie.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_bloom": op2_language_bloom,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_counts": op4_token_counts,
+    "op5_graph_ann": op5_graph_ann,
+    "op6_simhash_trie": op6_simhash_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {}
