@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.llm import byte_bpe, graph_ann, language_id, simhash_trie, token_counts, url_reputation
+from aeroledger.llm import byte_bpe, graph_ann, language_id, lattice_dedup, simhash_trie, token_counts, url_reputation
 from aeroledger.llm.url_reputation import Rule
 
 URL_RULES = (
@@ -70,6 +70,10 @@ def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_trie.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op8_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_bloom": op2_language_bloom,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_graph_ann": op5_graph_ann,
     "op6_simhash_trie": op6_simhash_trie,
+    "op8_lattice_dedup": op8_lattice_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
