@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.llm import byte_bpe, graph_ann, language_id, lattice_dedup, simhash_trie, token_counts, url_reputation
+from aeroledger.llm import byte_bpe, graph_ann, language_id, lattice_dedup, simhash_trie, suffix_dedup, token_counts, url_reputation
 from aeroledger.llm.url_reputation import Rule
 
 URL_RULES = (
@@ -74,6 +74,11 @@ def op8_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_bloom": op2_language_bloom,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_graph_ann": op5_graph_ann,
     "op6_simhash_trie": op6_simhash_trie,
     "op8_lattice_dedup": op8_lattice_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
