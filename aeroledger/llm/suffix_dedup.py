@@ -32,7 +32,7 @@ from aeroledger.llm.common import by_bytes, durable
 
 LENGTH = 200
 GRAM = 64
-MAX_RUN = 256
+SEGMENT = 1 << 22
 MAX_CONTEXTS = 16_384
 BATCH_BYTES = 1 << 20
 TRANSFORM_BYTES = 2 << 20
@@ -51,13 +51,25 @@ def _doubled(values: np.ndarray, width: int, join) -> np.ndarray:
     return out
 
 
-def anchors(data: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """Anchor of the string of `length` bytes at each place of `data` (uint8)."""
-    h = _doubled(_BYTE_CODES[data], gram, lambda a, b, i: a * _STEPS[i] + b)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
-    return _doubled(h, length - gram + 1, lambda a, b, _: np.minimum(a, b))
+def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the string of `length` bytes at each place of `data` (uint8), the place and the hash of its anchor.
+
+    The first of equal pieces is the anchor, so equal strings at two places have anchors at two places. Places are told by the low bits of
+    the values that are compared; strings are taken in segments so that these suffice.
+    """
+    n = len(data) - length + 1
+    places, hashes = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.uint64)
+    low = np.uint64((1 << 24) - 1)
+    for at in range(0, n, SEGMENT):
+        part = data[at : min(at + SEGMENT, n) + length - 1]
+        h = _doubled(_BYTE_CODES[part], gram, lambda a, b, i: a * _STEPS[i] + b)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+        least = _doubled((h & ~low) | np.arange(len(h), dtype=np.uint64), length - gram + 1, lambda a, b, _: np.minimum(a, b))
+        place = (least & low).astype(np.int64)
+        places[at : at + SEGMENT], hashes[at : at + SEGMENT] = place + at, h[place]
+    return places, hashes
 
 
 def contexts(texts: list[bytes], length: int, gram: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -66,23 +78,18 @@ def contexts(texts: list[bytes], length: int, gram: int) -> list[tuple[np.ndarra
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     if len(data) < length:
         return [(none, none, none)] * len(texts)
-    anchor = anchors(data, length, gram)
+    place, anchor = anchors(data, length, gram)
     out, at = [], 0
     for text in texts:
         n = len(text) - length + 1
         if n <= 0:
             out.append((none, none, none))
         else:
-            own = anchor[at : at + n]
-            first = np.flatnonzero(np.diff(own, prepend=~own[:1]))
-            size = np.diff(np.append(first, n))
-            pieces = -(-size // MAX_RUN)
-            part = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            first = np.repeat(first, pieces) + part * MAX_RUN
+            first = np.flatnonzero(np.diff(place[at : at + n], prepend=-1))
             ends = np.append(first[1:], n) + length - 1
             digest = xxhash.xxh3_64_intdigest
             hashed = np.array([digest(text[a:e]) for a, e in zip(first.tolist(), ends.tolist(), strict=True)], dtype=np.uint64)
-            out.append((first, own[first].view(np.int64), hashed.view(np.int64)))
+            out.append((first, anchor[at + first].view(np.int64), hashed.view(np.int64)))
         at += len(text)
     return out
 
@@ -321,7 +328,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
     spans = find_repeats(docs, length, gram, max_contexts).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
     rows = docs.drop(*made)
     joined = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key(F.col("text")) == F.col("__key")), "left")
-    joined = joined.select(*rows.columns, F.coalesce("text", F.lit("")).alias("__text"), "__spans")
+    names = rows.columns
+    joined = joined.select(*names, F.coalesce("text", F.lit("")).alias("__text"), "__spans")
     schema = rows.schema.simpleString()[len("struct<") : -1] + ", n_bytes long, n_removed long, n_spans long, kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,13 +342,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
             left = [cut(t, where[a:b]) for t, a, b in zip(texts, ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(part.column(c) for c in rows.columns),
+                    *(part.column(c) for c in names),
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([n for _, n, _ in left], pa.int64()),
                     pa.array([n for _, _, n in left], pa.int64()),
                     pa.array([t for t, _, _ in left], pa.binary()),
                 ],
-                [*rows.columns, *made],
+                [*names, *made],
             )
 
     return joined.mapInArrow(run, schema)
