@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.llm import byte_bpe, graph_ann, language_id, lattice_dedup, simhash_trie, suffix_dedup, token_counts, url_reputation
+from aeroledger.llm import best_fit, byte_bpe, graph_ann, language_id, lattice_dedup, license_scan, simhash_trie, suffix_dedup, token_counts, url_reputation
 from aeroledger.llm.url_reputation import Rule
 
 URL_RULES = (
@@ -70,6 +70,10 @@ def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_trie.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(op4_token_counts(spark, sf_dir).select("doc_id", "n_tokens"))
+
+
 def op8_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +83,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_bloom": op2_language_bloom,
@@ -86,8 +95,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_graph_ann": op5_graph_ann,
     "op6_simhash_trie": op6_simhash_trie,
+    "op7_best_fit": op7_best_fit,
     "op8_lattice_dedup": op8_lattice_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
