@@ -1,12 +1,17 @@
 """SimHash near-duplicates by a self-join of a binary trie of fingerprints.
 
 Pairs of trie nodes are walked together, top bit first; differing bits add up along the way and a pair whose sum exceeds the budget is left
-with everything below it. Of three blocks of a fingerprint, one is equal in any two that differ in at most two bits; so the trie is built
-three times, each time with another block on top, and the walk allows no difference within that block. Equal fingerprints are one leaf.
+with everything below it. `Rule` says how many bits may differ at which depth, and which turns of the fingerprint are tries of their own.
+
+* `WITHIN_TWO_BITS` finds every pair of 64-bit fingerprints that differ in at most two bits: of three blocks one is equal, so the trie is
+  built three times, each time with another block on top, and the walk allows no difference within that block.
+* `similar_texts` is for looser similarity. Fingerprints have 256 bits, of which each trie holds 64; a pair that stays within one differing
+  bit down to a depth that grows with the number of fingerprints is compared in all bits. Twenty tries find a pair at the threshold of 0.8
+  with about 95 %, and closer ones almost surely.
 
 The upper part of the walk is done by the shuffle: a cell is a pair of nodes at some depth, with the difference so far, and holds the
 fingerprints below them. A cell with too many of them is taken further down until it is small enough, so none is left out and none grows with
-the data. Inside a cell the walk is vectorised, and only a spanning forest of the links found leaves it.
+the data. Inside a cell the walk is vectorised, and only a spanning forest of the links found leaves it. Equal fingerprints are one leaf.
 
 Edge cases: a null text is like an empty one, its fingerprint is zero and links like any other. A text of fewer words than a shingle is one
 shingle. Rows with the same text share a component. Null ids take no part in the smallest id; a component of null ids only has a null
@@ -15,7 +20,9 @@ component_id. Only the named columns are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate, repeat
 
 import numpy as np
@@ -28,19 +35,51 @@ from aeroledger.llm.common import by_bytes, durable
 from aeroledger.llm.components import LocalComponents, connected_components
 
 BITS = 64
-BLOCK = 21  # two blocks of 21 bits and one of 22, of which 21 are compared
-ROTATIONS = (0, 21, 42)
-BUDGET = 2
 BATCH_BYTES = 4 << 20
-HASHES_AT_ONCE = 1 << 16
+HASHES_AT_ONCE = 1 << 14
 PAIRS_AT_ONCE = 1 << 19
 
 
-def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
-    """Bit-wise majority of the XXH64 of all shingles of `words` words, A-Z lower-cased, blanks collapsed."""
+@dataclass(frozen=True)
+class Rule:
+    """Which fingerprints link."""
+
+    words: int  # of a shingle
+    lanes: int  # 64-bit words of a fingerprint
+    turns: tuple[int, ...]  # for each lane, the rotations that are tries
+    exact_bits: int  # on top, none of these may differ
+    near_bits: int  # of these `near_errors` may differ; below, fingerprints are compared in all bits
+    near_errors: int
+    budget: int  # differing bits in all
+
+    def allowed(self, depth: int) -> int:
+        return 0 if depth <= self.exact_bits else self.near_errors
+
+
+WITHIN_TWO_BITS = Rule(words=3, lanes=1, turns=(0, 21, 42), exact_bits=21, near_bits=64, near_errors=2, budget=2)
+
+
+def similar_texts(n: int, similarity: float = 0.8, words: int = 5) -> Rule:
+    """Rule for shingle sets of at least this Jaccard similarity, among `n` fingerprints.
+
+    The cosine of two sets of similarity s is 2s / (1 + s), and a bit differs with the angle's share of a half turn.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    near = min(48, max(16, n.bit_length() + 2))
+    return Rule(words, lanes=4, turns=(0, 13, 26, 39, 52), exact_bits=4, near_bits=near, near_errors=1, budget=round(4 * BITS * share))
+
+
+_LANES = np.random.default_rng(64).integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def fingerprint(text: str, words: int = 3, seed: int = 42, lanes: int = 1) -> np.ndarray:
+    """Bit-wise majority of the XXH64 of all shingles of `words` words, A-Z lower-cased, blanks collapsed.
+
+    Lanes after the first take the hashes scrambled by a multiplication each.
+    """
     found = text.encode("utf-8", "replace").lower().split()
     if not found:
-        return 0
+        return np.zeros(lanes, dtype=np.uint64)
     line = b" ".join(found)
     if len(found) < words:
         hashes = [xxhash.xxh64_intdigest(line, seed)]
@@ -48,28 +87,37 @@ def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
         starts = [0, *accumulate(len(w) + 1 for w in found)]
         ends = [s - 1 for s in starts[words:]]
         hashes = map(xxhash.xxh64_intdigest, map(line.__getitem__, map(slice, starts, ends)), repeat(seed))
-    total, ones = 0, np.zeros(BITS, dtype=np.int64)
     values = np.fromiter(hashes, dtype="<u8")
+    ones = np.zeros((lanes, BITS), dtype=np.int64)
     for i in range(0, len(values), HASHES_AT_ONCE):
         part = values[i : i + HASHES_AT_ONCE]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        total += len(part)
-    return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
+        for lane in range(lanes):
+            own = part
+            if lane:
+                own = (part ^ (part >> np.uint64(31))) * _LANES[lane]
+                own ^= own >> np.uint64(29)
+            ones[lane] += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
+    return np.packbits(2 * ones > len(values), axis=1, bitorder="little").view("<u8").ravel()
+
 
+def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, lanes: int = 1) -> DataFrame:
+    """doc_id, hash of the text, lanes (array of 64-bit words as longs) and fingerprint of every row.
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id, hash of the text and fingerprint (64 bits as a long) of every row."""
+    With one lane, fingerprint is that lane; with more it is a hash that names them.
+    """
     rows = docs.select("doc_id", _text_hash(F.col("text")).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, fingerprint long"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, lanes array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "text", BATCH_BYTES):
-            found = np.array([fingerprint(t, words, seed) for t in part.column("text").to_pylist()], dtype=np.uint64)
+            found = np.concatenate([fingerprint(t, words, seed, lanes) for t in part.column("text").to_pylist()])
+            ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * lanes)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_hash"), pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fingerprint"]
+                [part.column("doc_id"), part.column("text_hash"), pa.ListArray.from_arrays(ends, pa.array(found.view(np.int64)))],
+                ["doc_id", "text_hash", "lanes"],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).withColumn("fingerprint", F.col("lanes")[0] if lanes == 1 else F.xxhash64("lanes"))
 
 
 def _mask(depth: int) -> np.uint64:
@@ -77,23 +125,23 @@ def _mask(depth: int) -> np.uint64:
     return np.uint64(0) if depth == 0 else np.uint64(((1 << depth) - 1) << (BITS - depth))
 
 
-def walk(values: np.ndarray, n_left: int, depth: int, differing: int, links: LocalComponents) -> None:
-    """Link all `values` within the budget, starting from one pair of nodes.
+def walk(values: np.ndarray, lanes: np.ndarray, n_left: int, depth: int, differing: int, rule: Rule, links: LocalComponents) -> None:
+    """Link all rows that the rule links, starting from one pair of nodes.
 
-    `values` (unsigned, rotated) holds the sorted distinct values below the left node, then, from `n_left` on, those below the right node;
-    with `n_left` equal to the length, the node is paired with itself. A frontier has ranges of both nodes and the difference so far.
+    `values` (unsigned, turned) holds the sorted values below the left node, then, from `n_left` on, those below the right node; with
+    `n_left` equal to the length, the node is paired with itself. A frontier has ranges of both nodes and the difference so far.
     """
     n = len(values)
     first = (0, n, 0, n) if n_left == n else (0, n_left, n_left, n)
     work = [(depth, *(np.array([x]) for x in (*first, differing)))]
     while work:
         depth, a0, a1, b0, b1, diff = work.pop()
-        single = (a1 - a0 == 1) & (b1 - b0 == 1) & (a0 != b0)
-        if single.any():
-            i, j = a0[single], b0[single]
-            close = np.bitwise_count(values[i] ^ values[j]) <= BUDGET
+        last = depth == rule.near_bits
+        ready = np.full(len(a0), True) if last else (a1 - a0 == 1) & (b1 - b0 == 1) & (a0 != b0)
+        for i, j in _row_pairs(a0[ready], a1[ready], b0[ready], b1[ready]):
+            close = np.bitwise_count(lanes[i] ^ lanes[j]).sum(1, dtype=np.int32) <= rule.budget
             links.link(i[close], j[close])
-            a0, a1, b0, b1, diff = (x[~single] for x in (a0, a1, b0, b1, diff))
+        a0, a1, b0, b1, diff = (x[~ready] for x in (a0, a1, b0, b1, diff))
         if not len(a0):
             continue
         if len(a0) > PAIRS_AT_ONCE:
@@ -104,43 +152,52 @@ def walk(values: np.ndarray, n_left: int, depth: int, differing: int, links: Loc
         a_mid, b_mid = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
         same = a0 == b0
         children = [(a0, a_mid, b0, b_mid, diff), (a_mid, a1, b_mid, b1, diff)]
-        if depth >= BLOCK:
-            crossed = diff < BUDGET
-            children.append(tuple(x[crossed] for x in (a0, a_mid, b_mid, b1, diff + 1)))
-            crossed &= ~same  # a node with itself has this pair of children once
-            children.append(tuple(x[crossed] for x in (a_mid, a1, b0, b_mid, diff + 1)))
+        crossed = diff < rule.allowed(depth + 1)
+        children.append(tuple(x[crossed] for x in (a0, a_mid, b_mid, b1, diff + 1)))
+        crossed &= ~same  # a node with itself has this pair of children once
+        children.append(tuple(x[crossed] for x in (a_mid, a1, b0, b_mid, diff + 1)))
         a0, a1, b0, b1, diff = (np.concatenate(x) for x in zip(*children, strict=True))
         alive = (a1 > a0) & (b1 > b0) & ((a0 != b0) | (a1 - a0 > 1))
         work.append((depth + 1, *(x[alive] for x in (a0, a1, b0, b1, diff))))
 
 
-def _links_in_cell(table: pa.Table) -> pa.Table:
+def _row_pairs(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a row of [a0, a1) and one of [b0, b1), some at a time; within one range each pair once."""
+    left = np.repeat(np.arange(len(a0)), a1 - a0)
+    rows = np.arange(len(left)) - np.repeat(np.cumsum(a1 - a0) - (a1 - a0), a1 - a0) + a0[left]
+    start = np.where(a0[left] == b0[left], rows + 1, b0[left])
+    n = b1[left] - start
+    slot = (np.cumsum(n) - n) // PAIRS_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), len(rows)]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        m = n[lo:hi]
+        yield np.repeat(rows[lo:hi], m), np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(start[lo:hi], m)
+
+
+def _links_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
     """Spanning forest of the links in one cell: pairs of fingerprints."""
-    rotation, depth, differing = (table.column(c)[0].as_py() for c in ("rotation", "depth", "differing"))
+    depth, differing = (table.column(c)[0].as_py() for c in ("depth", "differing"))
     left, right = (np.uint64(table.column(c)[0].as_py() & (1 << BITS) - 1) for c in ("left", "right"))
-    values = np.unique(table.column("value").to_numpy().view(np.uint64))
-    if left != right:
-        below = (values & _mask(depth)) == left
-        values = np.concatenate([values[below], values[~below]])
-        n_left = int(below.sum())
-    else:
-        n_left = len(values)
+    table = table.combine_chunks()
+    values, names = table.column("value").to_numpy().view(np.uint64), table.column("fingerprint").to_numpy()
+    lanes = pa.chunked_array([c.flatten() for c in table.column("lanes").chunks]).to_numpy().view(np.uint64).reshape(-1, rule.lanes)
+    below = (values & _mask(depth)) == left
+    order = np.lexsort((values, ~below)) if left != right else np.argsort(values)
+    values, names, lanes = values[order], names[order], lanes[order]
     links = LocalComponents(len(values))
     if len(values) > 1:
-        walk(values, n_left, depth, differing, links)
+        walk(values, lanes, int(below.sum()), depth, differing, rule, links)
     roots = links.roots()
     moved = np.flatnonzero(roots != np.arange(len(values)))
-    back = (values >> np.uint64(rotation)) | (values << np.uint64(BITS - rotation)) if rotation else values
-    return pa.table({"fingerprint": back[moved].view(np.int64), "linked": back[roots[moved]].view(np.int64)})
+    return pa.table({"fingerprint": names[moved], "linked": names[roots[moved]]})
 
 
-def _next_cells(cells: DataFrame, step: int) -> DataFrame:
+def _next_cells(cells: DataFrame, step: int, rule: Rule) -> DataFrame:
     """Take cells `step` bits further down: a value meets those whose next bits differ from its own in as many bits as are left."""
-    masks = [m for m in range(1 << step) if m.bit_count() <= BUDGET]
+    masks = [m for m in range(1 << step) if m.bit_count() <= rule.near_errors]
     down = cells.withColumn("flip", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-    down = down.where(
-        (F.col("differing") + F.bit_count("flip") <= F.lit(BUDGET)) & ((F.col("flip") == 0) | (F.col("depth") >= BLOCK))
-    )
+    allowed = F.when(F.col("depth") + step <= rule.exact_bits, 0).otherwise(rule.near_errors)
+    down = down.where(F.col("differing") + F.bit_count("flip") <= allowed)
     down = down.withColumns(
         {
             "top": F.expr("CASE WHEN depth = 0 THEN 0L ELSE shiftleft(-1L, 64 - depth) END"),
@@ -155,65 +212,80 @@ def _next_cells(cells: DataFrame, step: int) -> DataFrame:
         }
     )
     return down.select(
-        "rotation",
+        "trie",
         F.least("own", "other").alias("left"),
         F.greatest("own", "other").alias("right"),
         (F.col("depth") + step).alias("depth"),
         (F.col("differing") + F.bit_count("flip")).cast("int").alias("differing"),
         "value",
+        "fingerprint",
+        "lanes",
     )
 
 
-CELL = ["rotation", "left", "right", "depth", "differing"]
+CELL = ["trie", "left", "right", "depth", "differing"]
 
 
-def links(distinct: DataFrame, cell_rows: int = 40_000, max_cell_rows: int = 400_000) -> DataFrame:
-    """fingerprint and linked: a spanning forest, per cell, of the pairs of distinct fingerprints within the budget.
+def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = 40_000, max_cell_rows: int = 200_000) -> DataFrame:
+    """fingerprint and linked: a spanning forest, per cell, of the pairs of `n` distinct fingerprints that the rule links.
 
     `cell_rows` is the usual size of a cell, `max_cell_rows` the size from which a cell is taken further down.
     """
-    n = distinct.count()
-    depth = min(BLOCK, max(0, (max(1, n) // cell_rows).bit_length()))
+    depth = min(rule.exact_bits, (n // cell_rows).bit_length())
     top = F.lit(0 if depth == 0 else -1 << (BITS - depth)).cast("long")
     turned = [
-        F.struct(F.lit(r).alias("rotation"), F.expr(f"shiftleft(fingerprint, {r}) | shiftrightunsigned(fingerprint, {BITS - r})" if r else "fingerprint").alias("value"))
-        for r in ROTATIONS
+        F.struct(
+            F.lit(len(rule.turns) * lane + i).alias("trie"),
+            F.expr(f"shiftleft(lanes[{lane}], {r}) | shiftrightunsigned(lanes[{lane}], {BITS - r})" if r else f"lanes[{lane}]").alias("value"),
+        )
+        for lane in range(rule.lanes)
+        for i, r in enumerate(rule.turns)
     ]
-    cells = distinct.select(F.explode(F.array(*turned)).alias("x")).select(
-        "x.rotation",
+    cells = distinct.select("fingerprint", "lanes", F.explode(F.array(*turned)).alias("x")).select(
+        "x.trie",
         F.col("x.value").bitwiseAND(top).alias("left"),
         F.col("x.value").bitwiseAND(top).alias("right"),
         F.lit(depth).alias("depth"),
         F.lit(0).alias("differing"),
         "x.value",
+        "fingerprint",
+        "lanes",
     )
     done = None
     while True:
-        large = cells.where(F.col("depth") <= BITS - 4).groupBy(*CELL).agg(F.count("*").alias("n")).where(F.col("n") > max_cell_rows)
-        large = durable(large.select(*CELL))
+        # a cell at the depth of comparison holds near-duplicates only and goes no further
+        open_cells = cells.where(F.col("depth") + 4 <= rule.near_bits)
+        large = durable(open_cells.groupBy(*CELL).agg(F.count("*").alias("n")).where(F.col("n") > max_cell_rows).select(*CELL))
         if large.isEmpty():
             break
         fits = cells.join(large, CELL, "left_anti")
         done = fits if done is None else done.unionByName(fits)
-        cells = durable(_next_cells(cells.join(large, CELL, "left_semi"), 4))
+        cells = durable(_next_cells(cells.join(large, CELL, "left_semi"), 4, rule))
     cells = cells if done is None else done.unionByName(cells)
-    return cells.groupBy(*CELL).applyInArrow(_links_in_cell, "fingerprint long, linked long")
+    return cells.groupBy(*CELL).applyInArrow(lambda table: _links_in_cell(table, rule), "fingerprint long, linked long")
 
 
-def _components(docs: DataFrame, words: int, seed: int, cells: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, similarity: float | None, seed: int, cells: dict[str, int]) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all rows, and per distinct fingerprint the first row (id, then hash of the text) of its component."""
-    prints = durable(fingerprints(docs, words, seed))
+    rule = WITHIN_TWO_BITS if similarity is None else similar_texts(1, similarity)
+    prints = durable(fingerprints(docs, rule.words, seed, rule.lanes))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    distinct = durable(prints.groupBy("fingerprint").agg(F.min(row).alias("first")))
-    roots = connected_components(links(distinct.select("fingerprint"), **cells)).withColumnRenamed("node", "fingerprint")
-    named = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    distinct = durable(prints.groupBy("fingerprint").agg(F.min(row).alias("first"), F.min("lanes").alias("lanes")))
+    n = distinct.count()
+    rule = rule if similarity is None else similar_texts(n, similarity)
+    roots = connected_components(links(distinct.select("fingerprint", "lanes"), rule, n, **cells)).withColumnRenamed("node", "fingerprint")
+    named = distinct.drop("lanes").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     smallest = named.groupBy("root").agg(F.min("first").alias("first"))
     return prints, named.drop("first").join(smallest, "root")
 
 
-def components(docs: DataFrame, words: int = 3, seed: int = 42, **cells: int) -> DataFrame:
-    """doc_id, fingerprint (long) and component_id of every row; component_id is the smallest doc_id reachable over links."""
-    prints, of_print = _components(docs, words, seed, cells)
+def components(docs: DataFrame, similarity: float | None = None, seed: int = 42, **cells: int) -> DataFrame:
+    """doc_id, fingerprint (long) and component_id of every row; component_id is the smallest doc_id reachable over links.
+
+    Without `similarity`, fingerprints of three-word shingles link within two bits; with it, texts of about that similarity in five-word
+    shingles link.
+    """
+    prints, of_print = _components(docs, similarity, seed, cells)
     of_print = of_print.select("fingerprint", F.col("first.doc_id").alias("component_id"))
     return prints.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
@@ -222,26 +294,24 @@ def as_hex(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), BITS // 4, "0"))
 
 
-def keep_one(docs: DataFrame, words: int = 3, seed: int = 42, **cells: int) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float | None = None, seed: int = 42, **cells: int) -> DataFrame:
     """One row of `docs` of each component, all columns: the one with the smallest doc_id.
 
     Rows without an id come last. Rows that share an id are told apart by the hash of their text; of rows that are equal in both, one stays.
     """
-    prints, of_print = _components(docs, words, seed, cells)
-    first = durable(of_print.select("first.doc_id", "first.text_hash").distinct())
-    same = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    twice = durable(same.join(first.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"}), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left_semi"))
-    names = docs.columns
-    rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), _text_hash(F.col("text")).alias("hash"))
-
-    def among(frame: DataFrame, how: str) -> DataFrame:
-        return rows.join(frame.select("doc_id", "text_hash"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), how)
-
+    prints, of_print = _components(docs, similarity, seed, cells)
+    first = durable(of_print.select(F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    often = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    twice = durable(often.join(first, same, "left_semi").select("doc_id", "text_hash"))
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), _text_hash(F.col("text")).alias("text_hash"))
+    kept = rows.join(first, same, "left_semi")
     if twice.isEmpty():
-        return among(first, "left_semi").select("row.*")
-    once = first.join(twice.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"}), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left_anti")
-    one = among(twice, "left_semi").groupBy("id", "hash").agg(F.first("row").alias("row"))
-    return among(once, "left_semi").select("row.*").unionByName(one.select("row.*"))
+        return kept.select("row.*")
+    again = twice.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    one = kept.join(again, same, "left_semi").groupBy("doc_id", "text_hash").agg(F.first("row").alias("row"))
+    return kept.join(again, same, "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 def _text_hash(text: Column) -> Column:

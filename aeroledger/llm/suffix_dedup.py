@@ -22,11 +22,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from aeroledger.llm.common import by_bytes, durable
 
@@ -352,3 +354,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
             )
 
     return joined.mapInArrow(run, schema)
+
+
+@F.pandas_udf(StringType())
+def whole_characters(kept: pd.Series) -> pd.Series:
+    """UTF-8 text of bytes, without characters that a cut has broken."""
+    return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))

@@ -1,10 +1,60 @@
-"""Corpus pipeline: language ID, SimHash near-dedup, suffix-array dedup, best-fit packing."""
+"""Corpus pipeline: language ID, SimHash near-dedup, suffix-array dedup, best-fit packing.
+
+Each stage takes the documents that its predecessor kept. The first three return the columns of the documents; the last returns where each
+piece of each document is packed.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aeroledger.llm import best_fit, language_id, simhash_trie, suffix_dedup, token_counts
+
+#: Least share of a document's n-grams that its language has to contain; texts of a known language have more than half.
+MIN_LANGUAGE_SHARE = 0.3
+#: Near-duplicates are texts of about this similarity in five-word shingles.
+SIMILARITY = 0.8
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in no known language, go."""
+    model = language_id.learn(docs)
+    judged = language_id.predict(docs, model, F.struct(*docs.columns).alias("row"))
+    kept = (F.col("lang_pred") != language_id.UND) & (F.col("lang_share") >= MIN_LANGUAGE_SHARE)
+    return judged.where(kept).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id."""
+    return simhash_trie.keep_one(docs, SIMILARITY)
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose passages that occur elsewhere; a character that is cut in the middle goes as well."""
+    cut = suffix_dedup.remove_repeats(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
+    text = F.when(F.col("row.text").isNotNull(), suffix_dedup.whole_characters(F.col("kept")))
+    changed = F.when(F.col("n_removed") > 0, text).otherwise(F.col("row.text"))
+    row = F.col("row").withField("text", changed)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("n_removed") > 0, F.length(changed).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+        row = row.withField("n_chars", length)
+    return cut.select(row.alias("row")).select("row.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of the permitted lengths."""
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return best_fit.pack(counted.select("doc_id", "n_tokens"))
+
 
-STAGES: list = []
+STAGES = [
+    ("language ID", identify_languages),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", remove_repeats),
+    ("best-fit packing", pack),
+]
 
 #: SQL cannot express the stages.
 ORACLE_SQL: str | None = None
