@@ -171,7 +171,7 @@ def _spread(items: list, n: int = 4) -> list:
     return [items[i * len(items) // n] for i in range(n)] if len(items) > n else items
 
 
-def scan(docs: DataFrame, model: LicenseModel, min_probability: float = 0.8, min_similarity: float = 0.75) -> DataFrame:
+def scan(docs: DataFrame, model: LicenseModel, min_probability: float = 0.5, min_similarity: float = 0.75) -> DataFrame:
     """Per document: doc_id, license (the confirmed family, else null), probability, similarity, n_paragraphs, n_predicted and n_confirmed.
 
     Probability and similarity are those of the paragraph that names the licence; n_predicted counts paragraphs with a probable family.
