@@ -1,4 +1,4 @@
-"""Flags, rates and means."""
+"""Flags, ranges and exact means."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def flag(condition: Column) -> Column:
-    """1 or 0, and NULL where the condition is NULL."""
-    return condition.cast("int")
-
-
 def positive_flag(col: str) -> Column:
     """True above zero, False otherwise, NULL for NULL."""
     return F.col(col) > 0
@@ -21,21 +16,6 @@ def temp_range(low: str, high: str) -> Column:
     return F.round(F.col(high) - F.col(low), 1)
 
 
-def rate(flag_col: Column, digits: int) -> Column:
-    """Percentage of flags set; NULL flags leave the denominator."""
-    return F.round(F.avg(flag_col) * 100, digits)
-
-
-def mean(value: Column, digits: int) -> Column:
-    """Mean of the non-NULL values."""
-    return F.round(F.avg(value), digits)
-
-
-def ratio(part: Column, whole: Column, digits: int) -> Column:
-    """Percentage of one sum in another; NULL when the whole is empty or zero."""
-    return F.round(F.try_divide(F.sum(part), F.sum(whole)) * 100, digits)
-
-
 def exact_mean(col: str, digits: int, weight: str | None = None) -> Column:
     """Mean of values that are already rounded to at most four decimals.
 

@@ -35,10 +35,16 @@ def _as_text(name: str, dtype: DataType) -> Column:
     return col.cast("string")
 
 
-def _value_counts(df: DataFrame) -> DataFrame:
-    """Rows per (column_name, value), NULL included."""
+# Values up to which an approximate distinct count, at its default precision, is within a factor of two for sure.
+EXACT_ENOUGH = 256
+
+
+def _value_counts(df: DataFrame, columns: DataFrame | None = None) -> DataFrame:
+    """Rows per (column_name, value), NULL included; of all columns, or of those named in ``columns``."""
     text = df.select(*[_as_text(f.name, f.dataType).alias(f.name) for f in df.schema])
     pairs = text.unpivot([], [F.col(f"`{c}`") for c in df.columns], "column_name", "value")
+    if columns is not None:
+        pairs = pairs.join(F.broadcast(columns), "column_name", "left_semi")  # at most one row per column
     return pairs.groupBy("column_name", "value").agg(F.count("*").alias("rows"))
 
 
@@ -90,8 +96,19 @@ def profile_numeric(df: DataFrame) -> DataFrame:
 
 
 def low_cardinality(df: DataFrame, k: int = LOW_CARDINALITY) -> DataFrame:
-    """The values of every column that has fewer than ``k`` of them, NULL included."""
-    values = _value_counts(df).select("column_name", "value")
+    """The values of every column that has fewer than ``k`` of them, NULL included.
+
+    Columns that clearly have more are left out before values are shuffled: up to
+    a few hundred values the approximate count is off by collisions only, so one
+    of twice ``k`` or more means at least ``k`` values.
+    """
+    if k <= EXACT_ENOUGH:
+        names = df.columns
+        about = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"{c}_n") for c in names])
+        few_values = _one_row_each(about, names, {"n": "n"}).filter(F.col("n") < 2 * k).select("column_name")
+    else:
+        few_values = None
+    values = _value_counts(df, few_values).select("column_name", "value")
     few = values.groupBy("column_name").agg(F.count("*").alias("n")).filter(F.col("n") < k)
     # An inner join, as Spark would move a semi join below the aggregation, where
     # the two sides no longer share their shuffle and the table is read twice.

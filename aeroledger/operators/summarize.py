@@ -69,9 +69,12 @@ def added_over(name: str, value: str, facts: str) -> Measure:
 
 
 def averaged_over(name: str, value: str, facts: str, digits: int, percent: bool = False) -> Measure:
-    """Rounded mean over facts of a dimension expression; ``facts`` as in :func:`added_over`."""
+    """Rounded mean over facts of a dimension expression; ``facts`` as in :func:`added_over`.
+
+    Values count to four decimals, in decimals, so that the order of the rows does not matter.
+    """
     combine = {
-        f"{name}_sum": f"sum({value} * {facts})",
+        f"{name}_sum": f"double(sum(cast({value} AS decimal(18,4)) * cast({facts} AS decimal(18,0))))",
         f"{name}_n": f"sum(CASE WHEN {value} IS NOT NULL THEN {facts} END)",
     }
     return Measure(name, _quotient(name, digits, percent), combine)
@@ -90,6 +93,11 @@ def combine(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) ->
     return combined.selectExpr(*keys, *[f"{m.result} AS {m.name}" for m in measures])
 
 
+def aggregate(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Measures of the facts per key, without a dimension; Spark's own partial aggregation does the reducing."""
+    return combine(reduce_facts(df, keys, measures), keys, measures)
+
+
 def summarize(
     facts: DataFrame,
     fact_keys: Sequence[str],

@@ -43,6 +43,7 @@ DELAYED = "int(dep_delay > 0)"
 ON_TIME = "int(dep_delay <= 0)"
 CANCELLED = "int(cancelled = 1)"
 DIVERTED = "int(diverted = 1)"
+DIVERTED_DELAY = "CASE WHEN diverted = 1 THEN dep_delay END"
 # A weather record without a wind reading counts as no match.
 HAS_WEATHER = "int(wind_category IS NOT NULL)"
 
@@ -121,15 +122,14 @@ def cancellation_analysis(cancelled: DataFrame, airports: DataFrame) -> DataFram
     The rates are shares of failed flights only; ``ops_summary`` has the shares
     of all scheduled flights.
     """
-    diverted_delay = "CASE WHEN diverted = 1 THEN dep_delay END"
     measures = [
         counted("total_events"),
         added("cancelled_count", CANCELLED),
         added("diverted_count", DIVERTED),
         _share("cancellation_rate_pct", CANCELLED, 2),
         _share("diversion_rate_pct", DIVERTED, 2),
-        averaged("diverted_avg_dep_delay_min", diverted_delay, 1),
-        largest("diverted_max_dep_delay_min", diverted_delay),
+        averaged("diverted_avg_dep_delay_min", DIVERTED_DELAY, 1),
+        largest("diverted_max_dep_delay_min", DIVERTED_DELAY),
     ]
     return summarize(
         cancelled,

@@ -29,7 +29,6 @@ class Report:
     means: Mapping[str, tuple[str, int]]  # output -> (averaged column, decimals)
     rank_by: str | None = None  # None: in key order
     ascending: bool = False
-    limit: int | None = None
 
 
 # The column that counts the flights of a group, per gold table.
@@ -54,7 +53,7 @@ _WEATHER_DELAY = {"avg_dep_delay": ("avg_dep_delay_min", 1), "delayed_pct": ("de
 GOLD_REPORTS = {
     "ontime_by_airline": Report(
         "flight_performance", "airline", {}, {"avg_on_time_pct": ("on_time_pct", 1)},
-        rank_by="avg_on_time_pct", limit=15,
+        rank_by="avg_on_time_pct",
     ),
     "perf_by_region": Report(
         "flight_performance", "dep_region", _FLIGHTS,
@@ -66,10 +65,10 @@ GOLD_REPORTS = {
     "cancel_by_airline": Report(
         "cancellation_analysis", "airline", _EVENTS_CANCELLED,
         {"avg_cancel_rate_pct": ("cancellation_rate_pct", 2)},
-        rank_by="avg_cancel_rate_pct", limit=15,
+        rank_by="avg_cancel_rate_pct",
     ),
     "cancel_by_month": Report(
-        "cancellation_analysis", "flight_month", _EVENTS_CANCELLED, _CANCEL_RATE, limit=12
+        "cancellation_analysis", "flight_month", _EVENTS_CANCELLED, _CANCEL_RATE
     ),
     "cancel_by_region": Report(
         "cancellation_analysis", "dep_region", _EVENTS, _CANCEL_RATE, rank_by="cancel_rate_pct"
@@ -81,7 +80,7 @@ GOLD_REPORTS = {
         "ops_summary", "airline",
         {**_SCHEDULED, "completed": "completed_count", "cancelled": "cancelled_count"},
         {**_CANCEL_RATE, **_COMPLETION_RATE},
-        rank_by="cancel_rate_pct", ascending=True, limit=15,
+        rank_by="cancel_rate_pct", ascending=True,
     ),
     "ops_by_month": Report(
         "ops_summary", "flight_month", _SCHEDULED_CANCELLED, {**_CANCEL_RATE, **_COMPLETION_RATE}
@@ -127,8 +126,8 @@ def ranked(
     return ordered if limit is None else ordered.limit(limit)
 
 
-def gold_report(gold: DataFrame, name: str, weighted: bool = False) -> DataFrame:
-    """One of ``GOLD_REPORTS`` over its gold table."""
+def gold_report(gold: DataFrame, name: str, weighted: bool = False, limit: int | None = None) -> DataFrame:
+    """One of ``GOLD_REPORTS`` over its gold table: every group, or the first ``limit``."""
     spec = GOLD_REPORTS[name]
     weight = GROUP_SIZE[spec.gold] if weighted else None
     out = gold.groupBy(spec.key).agg(
@@ -136,9 +135,9 @@ def gold_report(gold: DataFrame, name: str, weighted: bool = False) -> DataFrame
         *[exact_mean(c, digits, weight).alias(n) for n, (c, digits) in spec.means.items()],
     )
     if spec.rank_by:
-        return ranked(out, spec.rank_by, [spec.key], spec.limit, spec.ascending)
+        return ranked(out, spec.rank_by, [spec.key], limit, spec.ascending)
     out = out.orderBy(F.col(spec.key).asc_nulls_first())
-    return out if spec.limit is None else out.limit(spec.limit)
+    return out if limit is None else out.limit(limit)
 
 
 def top_routes(performance: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
-
 MB = 1024 * 1024
 TASK_BYTES = 128 * MB
 # The driver tracks every map task and every shuffle holds tasks x partitions
-# blocks, so very large inputs get larger tasks rather than ever more of them.
-MAX_TASKS = 30_000
+# blocks, so very large inputs get larger tasks: from FEW_TASKS on they grow with
+# the input, but never beyond what a task can hold.
+FEW_TASKS = 30_000
+MAX_TASK_BYTES = 1024 * MB
 # Rows in a shuffle, against their compressed parquet size.
 SHUFFLE_GROWTH = 3
 
-_UNITS = {"": 1, "Ki": 2**10, "Mi": 2**20, "Gi": 2**30, "Ti": 2**40, "Pi": 2**50, "Ei": 2**60}
+
+def task_bytes(total_bytes: int) -> int:
+    """Bytes for one task of a stage that reads or shuffles so many."""
+    return min(max(TASK_BYTES, -(-total_bytes // FEW_TASKS)), MAX_TASK_BYTES)
 
 
 def shuffle_partitions(input_bytes: int, least: int = 1) -> int:
@@ -24,35 +25,17 @@ def shuffle_partitions(input_bytes: int, least: int = 1) -> int:
     aggregation cannot be split at run time, so there have to be enough of them
     beforehand. Adaptive execution joins those that turn out small.
     """
-    wanted = -(-SHUFFLE_GROWTH * input_bytes // TASK_BYTES)
-    return max(least, min(wanted, MAX_TASKS))
+    shuffled = SHUFFLE_GROWTH * input_bytes
+    return max(least, -(-shuffled // task_bytes(shuffled)))
 
 
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Spark options to build a session with."""
-    read_bytes = max(TASK_BYTES, -(-input_bytes // MAX_TASKS))
-    write_bytes = max(TASK_BYTES, -(-SHUFFLE_GROWTH * input_bytes // MAX_TASKS))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(write_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes(SHUFFLE_GROWTH * input_bytes)),
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
-        "spark.sql.files.maxPartitionBytes": str(read_bytes),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes(input_bytes)),
         "spark.sql.session.timeZone": "UTC",
     }
-
-
-def input_bytes(spark: SparkSession, df: DataFrame) -> int:
-    """Size of a table's files as the optimizer knows it; starts no job."""
-    plan = spark.sql("EXPLAIN COST SELECT * FROM {table}", table=df).first()[0]
-    size, unit = re.search(r"sizeInBytes=([\d.E+]+) (\w{0,2})B", plan).groups()
-    return int(float(size) * _UNITS[unit])
-
-
-def raise_shuffle_partitions(spark: SparkSession, df: DataFrame) -> None:
-    """Give a running session enough shuffle partitions for a table, never fewer than it has."""
-    current = spark.conf.get("spark.sql.shuffle.partitions")
-    if current.isdigit():
-        wanted = shuffle_partitions(input_bytes(spark, df))
-        if wanted > int(current):
-            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))

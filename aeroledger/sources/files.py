@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aeroledger.functions.fixed_values import RAW_FILES, RAW_SCHEMAS, TABLE_FOLDERS
 
@@ -24,16 +24,38 @@ def read_raw_csv(
 ) -> DataFrame:
     """CSV with a header. Without a schema Spark reads the file once more to infer it.
 
-    With a schema the header has to name its columns in order, and a cell that
-    does not fit its type stops the scan, so no value moves to another column
-    or turns into NULL unnoticed; ``mode="PERMISSIVE"`` reads such cells as NULL.
+    With a schema, its columns are found by their names in the header, in any
+    order; other columns are left out and an absent one is an error. All files of
+    a folder have to agree on the header. A cell that does not fit its type stops
+    the scan, so no value turns into NULL unnoticed; ``mode="PERMISSIVE"`` reads
+    such cells as NULL and ``mode="DROPMALFORMED"`` leaves their rows out.
     """
     reader = spark.read.option("header", True)
     if schema is None:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.schema(schema).option("enforceSchema", False).option("mode", mode)
-    return reader.csv(path)
+        return reader.option("inferSchema", True).csv(path)
+    struct = _struct(schema)
+    header = reader.csv(path).columns
+    absent = [n for n in struct.names if n not in header]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {', '.join(absent)}; its header has {', '.join(header)}")
+    typed = StructType([struct[n] if n in struct.names else StructField(n, StringType()) for n in header])
+    reader = reader.schema(typed).option("enforceSchema", False).option("mode", mode)
+    return reader.csv(path).select(*[f"`{n}`" for n in struct.names])
+
+
+def malformed_lines(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """Column line: the lines of a CSV that have a cell which does not fit its type."""
+    by_name = {f.name: f for f in _struct(schema)}
+    header = spark.read.option("header", True).csv(path).columns
+    typed = StructType([by_name.get(n, StructField(n, StringType())) for n in header]).add("_malformed", StringType())
+    lines = spark.read.text(path)
+    parsed = F.from_csv("value", typed.toDDL(), {"columnNameOfCorruptRecord": "_malformed"})
+    bad = lines.select(F.col("value").alias("line"), parsed["_malformed"].alias("malformed")).where("malformed IS NOT NULL")
+    return bad.select("line").where(F.col("line") != lines.first()[0])
+
+
+def _struct(schema: str | StructType) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -59,11 +81,11 @@ def read_table(spark: SparkSession, path: str, schema: str | StructType | None =
     """
     if schema is None:
         return spark.read.parquet(path)
-    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    struct = _struct(schema)
     return spark.read.schema(struct).parquet(path).select(*struct.names)
 
 
-def ingest(spark: SparkSession, name: str, raw: str, bronze: str) -> None:
-    """Copy one raw CSV data set to its bronze parquet table."""
-    source = read_raw_csv(spark, f"{raw}/{RAW_FILES[name]}", RAW_SCHEMAS[name])
+def ingest(spark: SparkSession, name: str, raw: str, bronze: str, mode: str = "FAILFAST") -> None:
+    """Copy one raw CSV data set to its bronze parquet table; ``mode`` as in :func:`read_raw_csv`."""
+    source = read_raw_csv(spark, f"{raw}/{RAW_FILES[name]}", RAW_SCHEMAS[name], mode)
     write_table(source, table_path(bronze, name))

@@ -9,13 +9,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
-from tempfile import mkdtemp
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeroledger.settings import raise_shuffle_partitions
-
 SPARK = {
     "dmy": "date_format(l.flown, 'dd-MM-yyyy')",
     "dow": "weekday({}) + 1",
@@ -50,6 +46,7 @@ def _flight_columns(short: bool) -> str:
     low_arr, high_arr = ("Low Arrival Delay", "hight Arrival Delay") if short else ("Low <5min", "hight >60min")
     return f"""
   CASE WHEN l.l_orderkey%89=0 THEN NULL WHEN l.l_partkey%3=0 THEN 'n00'
+       WHEN l.l_partkey%7=0 THEN 'x'||cast(5*l.l_suppkey AS string)
        ELSE 'n'||lpad(cast(l.l_suppkey%8 AS string),2,'0') END AS Dep_Airport,
   'City '||cast(l.l_suppkey%8 AS string) AS Dep_CityName,
   'n'||lpad(cast((l.l_partkey+l.l_suppkey)%2 AS string),2,'0') AS Arr_Airport,
@@ -73,7 +70,7 @@ def raw_sql(name: str, dialect: dict[str, str], table: Callable[[str], str] = st
         return f"""
 SELECT CASE WHEN l.l_orderkey%97=0 THEN NULL ELSE {d["dmy"]} END AS FlightDate,
   cast({d["dow"].format("l.flown")} AS int) AS Day_Of_Week,
-  ' Air '||cast(l.l_partkey%2 AS string)||' ' AS Airline, 'T'||cast(l.l_suppkey AS string) AS Tail_Number,
+  ' Air '||cast(CASE WHEN l.l_partkey%11=0 THEN l.l_suppkey ELSE l.l_partkey%2 END AS string)||' ' AS Airline, 'T'||cast(l.l_suppkey AS string) AS Tail_Number,
   CASE l.l_partkey%3 WHEN 0 THEN 'boeing ' WHEN 1 THEN 'Airbus' ELSE ' embraer' END AS Manufacturer,
   'M'||cast(l.l_partkey%20 AS string) AS Model, cast(l.l_partkey%30 AS int) AS Aicraft_age,
   {_flight_columns(short=False)}
@@ -84,7 +81,7 @@ FROM (SELECT *, make_date(cast(year(l_shipdate) AS int), cast((month(l_shipdate)
     if name == "cancelled":
         return f"""
 SELECT l.flown AS FlightDate, cast({d["dow"].format("l.flown")} AS int) AS Day_Of_Week,
-  ' Air '||cast(l.l_partkey%2 AS string)||' ' AS Airline, 'T'||cast(l.l_suppkey AS string) AS Tail_Number,
+  ' Air '||cast(CASE WHEN l.l_partkey%11=0 THEN l.l_suppkey ELSE l.l_partkey%2 END AS string)||' ' AS Airline, 'T'||cast(l.l_suppkey AS string) AS Tail_Number,
   CASE WHEN l.l_orderkey%103=0 THEN NULL WHEN l.l_returnflag='R' THEN 1 ELSE 0 END AS Cancelled,
   CASE WHEN (l.l_returnflag='A' AND l.l_orderkey%61<>0) OR l.l_linenumber=1 THEN 1 ELSE 0 END AS Diverted,
   {_flight_columns(short=True)}
@@ -92,8 +89,11 @@ FROM (SELECT *, cast(l_shipdate AS date) AS flown
       FROM {table("lineitem")} WHERE l_returnflag IN ('R','A')) l
 {d["copies"]}"""
     if name == "weather":
+        # half of the orders belong to 25 shared stations, the others to stations whose number grows with the customers
+        station = """CASE WHEN o_custkey%2=0 THEN 'n'||lpad(cast(o_custkey%25 AS string),2,'0')
+       ELSE 'x'||cast(o_custkey AS string) END"""
         return f"""
-SELECT cast(o_orderdate AS date) AS time, 'n'||lpad(cast(o_custkey%25 AS string),2,'0') AS airport_id,
+SELECT cast(o_orderdate AS date) AS time, {station} AS airport_id,
   CASE WHEN min(o_orderkey)%23=0 THEN NULL ELSE min(o_custkey%80)*0.5e0-10 END AS tavg,
   min(o_custkey%80)*0.5e0-15 AS tmin,
   CASE WHEN min(o_orderkey)%29=0 THEN NULL ELSE min(o_custkey%80)*0.5e0-5+max(o_orderkey%6) END AS tmax,
@@ -102,37 +102,27 @@ SELECT cast(o_orderdate AS date) AS time, 'n'||lpad(cast(o_custkey%25 AS string)
   cast(CASE WHEN min(o_orderkey)%5=0 THEN NULL ELSE min(o_orderkey)%360 END AS double) AS wdir,
   CASE min(o_orderkey)%6 WHEN 0 THEN 0e0 WHEN 1 THEN 20e0 WHEN 2 THEN 40e0 WHEN 3 THEN 60e0 WHEN 4 THEN 60.5e0 ELSE NULL END AS wspd,
   CASE min(o_orderkey)%7 WHEN 0 THEN 999.5e0 WHEN 1 THEN 1000e0 WHEN 2 THEN 1020e0 WHEN 3 THEN 1020.5e0 WHEN 4 THEN NULL ELSE 1010e0 END AS pres
-FROM {table("orders")} GROUP BY o_custkey%25, cast(o_orderdate AS date)"""
+FROM {table("orders")} GROUP BY {station}, cast(o_orderdate AS date)"""
     if name == "airports":
         return f"""
-SELECT ' n'||lpad(cast(c_nationkey AS string),2,'0')||' ' AS IATA_CODE,
+SELECT CASE WHEN c_custkey%5=0 THEN ' x'||cast(c_custkey AS string)||' ' WHEN c_nationkey=3 THEN ' unused '
+       ELSE ' n'||lpad(cast(c_nationkey AS string),2,'0')||' ' END AS IATA_CODE,
   ' Airport '||cast(c_nationkey AS string)||' INTL' AS AIRPORT, 'City '||cast(c_nationkey AS string)||' ' AS CITY,
   CASE WHEN c_nationkey=24 THEN NULL WHEN c_nationkey=23 THEN 'DC' WHEN c_nationkey%8=0 THEN 'NY'
        WHEN c_nationkey%8=1 THEN 'GA' WHEN c_nationkey%8=2 THEN 'OH' WHEN c_nationkey%8=3 THEN 'TX'
        WHEN c_nationkey%8=4 THEN 'CA' WHEN c_nationkey%8=5 THEN 'AK' WHEN c_nationkey%8=6 THEN 'HI' ELSE 'PR' END AS STATE,
   'USA' AS COUNTRY, 20+cast(c_nationkey AS double)/3 AS LATITUDE, -70-cast(c_nationkey AS double)/7 AS LONGITUDE
-FROM {table("customer")} WHERE c_nationkey<>3"""
+FROM {table("customer")}"""
     raise KeyError(name)
 
 
 SOURCE_TABLE = {"flights": "lineitem", "cancelled": "lineitem", "weather": "orders", "airports": "customer"}
 
 
-@lru_cache(maxsize=None)
-def _source(spark: SparkSession, path: str) -> DataFrame:
-    """A given table, opened once per session.
-
-    A session that was not sized for the table gets more shuffle partitions.
-    """
-    df = spark.read.parquet(path)
-    raise_shuffle_partitions(spark, df)
-    return df
-
-
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A raw input as a lazy DataFrame."""
     source = SOURCE_TABLE[name]
-    df = _source(spark, f"{sf_dir}/{source}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
     return spark.sql(raw_sql(name, SPARK, lambda t: "{" + t + "}"), **{source: df})
 
 
@@ -148,13 +138,13 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder for one run, under the shared folder the cluster names.
+    """A new folder for one run, removed when the session's JVM ends.
 
-    Only a local session without that setting gets a folder of this machine.
+    It lies in the shared folder that the cluster names, or below the warehouse
+    where none is named; both are open to every executor.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/aeroledger-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return mkdtemp(prefix="run-", dir="/tmp")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/aeroledger-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -9,12 +9,6 @@ from __future__ import annotations
 
 import re
 
-from aeroledger.functions.fixed_values import (
-    BLANK_WHEN_CANCELLED,
-    DELAY_CAUSES,
-    OPERATION_COLUMNS,
-    REGION_STATES,
-)
 from harness.fixtures import DUCKDB, raw_sql
 from harness.queries import GOLD_REPORT_QUERIES, WORST_ROUTE_MIN_SCHEDULED
 
@@ -43,12 +37,30 @@ def exact_mean(col: str, digits: int) -> str:
     return dround(f"CAST(sum(CAST({col} AS DECIMAL(18,4))) AS DOUBLE)/count({col})", digits)
 
 
+# Spelled out here on purpose: the check must not share the tables it checks.
+BLANK_WHEN_CANCELLED = (
+    "Dep_Delay Dep_Delay_Tag Dep_Delay_Type Arr_Delay Arr_Delay_Type Delay_Carrier Delay_Weather Delay_NAS "
+    "Delay_Security Delay_LastAircraft Flight_Duration"
+).split()
+CAUSE_COLUMNS = ["Delay_Carrier", "Delay_Weather", "Delay_NAS", "Delay_Security", "Delay_LastAircraft"]
+OPERATION_COLUMNS = [
+    "flightdate", "flight_year", "flight_month", "flight_day", "day_of_week", "weekday_name", "airline",
+    "tail_number", "dep_airport", "dep_cityname", "arr_airport", "arr_cityname", "deptime_label",
+    "distance_type", "dep_delay", "arr_delay", "flight_duration",
+]
+REGIONS = """CASE WHEN {0} IN ('CT','ME','MA','NH','RI','VT','NY','NJ','PA') THEN 'Northeast'
+  WHEN {0} IN ('DE','MD','VA','WV','NC','SC','GA','FL','AL','MS','TN','KY','AR','LA') THEN 'Southeast'
+  WHEN {0} IN ('OH','MI','IN','WI','IL','MN','IA','MO','ND','SD','NE','KS') THEN 'Midwest'
+  WHEN {0} IN ('TX','OK','NM','AZ') THEN 'Southwest'
+  WHEN {0} IN ('CO','WY','MT','ID','WA','OR','CA','NV','UT') THEN 'West'
+  WHEN {0} IN ('AK','HI') THEN 'Pacific' END"""
+
 # --- tables -------------------------------------------------------------------------
 
 BLANKED = {c: f"CASE WHEN Cancelled = 1 THEN NULL ELSE {c} END" for c in BLANK_WHEN_CANCELLED}
-C, W, N, S, L = DELAY_CAUSES.values()
-SUM_OF_CAUSES = "CAST(" + "+".join(f"coalesce({c},0)" for c in DELAY_CAUSES.values()) + " AS INTEGER)"
-ALL_CAUSES_NULL = " AND ".join(f"{c} IS NULL" for c in DELAY_CAUSES.values())
+C, W, N, S, L = CAUSE_COLUMNS
+SUM_OF_CAUSES = "CAST(" + "+".join(f"coalesce({c},0)" for c in CAUSE_COLUMNS) + " AS INTEGER)"
+ALL_CAUSES_NULL = " AND ".join(f"{c} IS NULL" for c in CAUSE_COLUMNS)
 
 
 def cause(blank: str, total_col: str, wrap: str = "{}") -> str:
@@ -73,10 +85,7 @@ def fixed_label(col: str) -> str:
 
 
 def region(col: str) -> str:
-    cases = " ".join(
-        f"WHEN {col} IN ({', '.join(repr(s) for s in states)}) THEN '{name}'" for name, states in REGION_STATES.items()
-    )
-    return f"CASE {cases} END"
+    return REGIONS.format(col)
 
 
 WEEKDAY_FROM_INT = """CASE Day_Of_Week WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' WHEN 3 THEN 'Wednesday'
@@ -120,9 +129,9 @@ ROUTE = """f.flight_year, f.flight_month, f.airline, f.dep_airport, a.city AS de
   a.us_region AS dep_region, f.arr_airport, f.arr_cityname, f.distance_type"""
 SKY = "w.weather_season, w.wind_category, w.pressure_category, w.is_precipitation, a.us_region AS dep_region"
 HAS_WEATHER = "w.wind_category IS NOT NULL"
-SKY_MEANS = f"""{mean('w.temp_avg_c', 1)} AS avg_temp_c, {mean('w.temp_range_c', 1)} AS avg_temp_range_c,
-  {mean('w.wind_speed_kmh', 1)} AS avg_wind_speed_kmh, {mean('w.precipitation_mm', 2)} AS avg_precipitation_mm,
-  {mean('w.snowfall_mm', 2)} AS avg_snowfall_mm"""
+SKY_MEANS = f"""{exact_mean('w.temp_avg_c', 1)} AS avg_temp_c, {exact_mean('w.temp_range_c', 1)} AS avg_temp_range_c,
+  {exact_mean('w.wind_speed_kmh', 1)} AS avg_wind_speed_kmh, {exact_mean('w.precipitation_mm', 2)} AS avg_precipitation_mm,
+  {exact_mean('w.snowfall_mm', 2)} AS avg_snowfall_mm"""
 
 
 def _ops_summary(operations: str) -> str:
@@ -271,7 +280,7 @@ Q["p6_lower_columns"] = """SELECT FlightDate AS flightdate, Day_Of_Week AS day_o
   Delay_NAS AS delay_nas, Delay_Security AS delay_security, Delay_LastAircraft AS delay_lastaircraft FROM raw_cancelled"""
 
 # derived columns
-_CAUSES = ", ".join(DELAY_CAUSES.values())
+_CAUSES = ", ".join(CAUSE_COLUMNS)
 _FLIGHT_TOTAL = f"CASE WHEN {ALL_CAUSES_NULL} THEN NULL ELSE {SUM_OF_CAUSES} END"
 _FAILED_TOTAL = f"CASE WHEN Cancelled=1 THEN NULL ELSE {SUM_OF_CAUSES} END"
 Q["e1_fix_label"] = f"""SELECT Dep_Delay_Type, {fixed_label('Dep_Delay_Type')} AS dep_fixed, Arr_Delay_Type,
@@ -350,7 +359,7 @@ _FLIGHT_TYPES = {
                      "Arr_Airport", "Arr_CityName", "DepTime_label", "Distance_type", "Dep_Delay_Type",
                      "Arr_Delay_Type"], "string"),
     **dict.fromkeys(["Day_Of_Week", "Aicraft_age", "Flight_Duration", "Dep_Delay", "Dep_Delay_Tag", "Arr_Delay",
-                     *DELAY_CAUSES.values()], "int"),
+                     *CAUSE_COLUMNS], "int"),
 }
 Q["q1_profile_columns"] = "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{t}' AS dtype, count(*) FILTER (WHERE {c} IS NULL) AS null_count,"
@@ -362,6 +371,13 @@ Q["q2_profile_numeric"] = "\nUNION ALL ".join(
     f" {mean(c, 2)} AS avg_value FROM raw_weather"
     for c in ("tavg", "tmin", "tmax", "prcp", "snow", "wdir", "wspd", "pres")
 )
+_INT_FLIGHTS = [c for c, t in _FLIGHT_TYPES.items() if t == "int"]
+Q["q2_profile_numeric_int"] = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,"
+    f" {mean(c, 2)} AS avg_value FROM {source}"
+    for source, columns in (("raw_flights", _INT_FLIGHTS), ("orders", ["o_orderkey", "o_custkey"]))
+    for c in columns
+)
 Q["q3_low_cardinality"] = "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, value FROM (SELECT value, count(*) OVER () AS n FROM"
     f" (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM raw_flights)) WHERE n < 8"
@@ -391,10 +407,12 @@ Q["q6_nulls_weather"] = _nulls(
     ["temp_avg_c", "precipitation_mm", "wind_speed_kmh", "wind_direction_deg", "pressure_hpa", "snowfall_mm"],
 )
 Q["q6_nulls_airports"] = _nulls("silver_airports", ["iata_code", "state", "us_region", "latitude", "longitude"])
-Q["q7_audit_flights"] = """SELECT (SELECT count(*) FROM raw_flights) AS bronze_rows,
-  (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_flights)) AS rows_after_dedup,
-  (SELECT count(*) FROM raw_flights) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_flights)) AS duplicates_removed,
-  (SELECT count(*) FROM silver_flights) AS silver_rows, CAST(33 AS INTEGER) AS silver_columns"""
+for _n, _columns in (("flights", 33), ("cancelled", 31), ("weather", 19), ("airports", 10)):
+    Q[f"q7_audit_{_n}"] = f"""SELECT (SELECT count(*) FROM raw_{_n}) AS bronze_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{_n})) AS rows_after_dedup,
+  (SELECT count(*) FROM raw_{_n}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{_n})) AS duplicates_removed,
+  (SELECT count(*) FROM silver_{_n}) AS silver_rows, CAST({_columns} AS INTEGER) AS silver_columns"""
+Q["duplicate_airports"] = "SELECT IATA_CODE, count(*) AS rows FROM raw_airports GROUP BY IATA_CODE HAVING count(*) > 1"
 
 
 def _counts(tables: dict[str, tuple[str, int]]) -> str:
@@ -424,6 +442,7 @@ _GOLD_COLUMNS = {
 }
 for _n in _GOLD_COLUMNS:
     Q[f"gold_{_n}"] = f"SELECT * FROM gold_{_n}"
+Q["medallion_gold"] = "SELECT * FROM gold_weather_delay_impact"
 Q["gold_ops_summary_aligned"] = "SELECT * FROM gold_ops_summary_aligned"
 Q["medallion_tables"] = _counts(
     {
@@ -484,7 +503,7 @@ _CANCELLED = f"{total('cancelled_count')} AS cancelled"
 # report -> (gold table, key, outputs, order and limit)
 _REPORTS = {
     "ontime_by_airline": ("flight_performance", "airline", [f"{exact_mean('on_time_pct', 1)} AS avg_on_time_pct"],
-                          "ORDER BY avg_on_time_pct DESC NULLS LAST, airline NULLS FIRST LIMIT 15"),
+                          "ORDER BY avg_on_time_pct DESC NULLS LAST, airline NULLS FIRST"),
     "perf_by_region": ("flight_performance", "dep_region",
                        [f"{exact_mean('avg_dep_delay_min', 1)} AS avg_dep_delay", _ON_TIME, _FLIGHTS], ""),
     "delay_by_wind": ("weather_delay_impact", "wind_category", [_WX_DELAY, _FLIGHTS], ""),
@@ -492,14 +511,14 @@ _REPORTS = {
     "delay_by_precip": ("weather_delay_impact", "is_precipitation", [_WX_DELAY, _FLIGHTS], ""),
     "cancel_by_airline": ("cancellation_analysis", "airline",
                           [_EVENTS, _CANCELLED, f"{exact_mean('cancellation_rate_pct', 2)} AS avg_cancel_rate_pct"],
-                          "ORDER BY avg_cancel_rate_pct DESC NULLS LAST, airline NULLS FIRST LIMIT 15"),
+                          "ORDER BY avg_cancel_rate_pct DESC NULLS LAST, airline NULLS FIRST"),
     "cancel_by_month": ("cancellation_analysis", "flight_month", [_EVENTS, _CANCELLED, _CANCEL_RATE],
-                        "ORDER BY flight_month NULLS FIRST LIMIT 12"),
+                        "ORDER BY flight_month NULLS FIRST"),
     "cancel_by_region": ("cancellation_analysis", "dep_region", [_EVENTS, _CANCEL_RATE], ""),
     "cancel_by_weekday": ("cancellation_analysis", "weekday_name", [_EVENTS, _CANCEL_RATE], ""),
     "ops_by_airline": ("ops_summary", "airline",
                        [_SCHEDULED, f"{total('completed_count')} AS completed", _CANCELLED, _CANCEL_RATE, _COMPLETION],
-                       "ORDER BY cancel_rate_pct NULLS FIRST, airline NULLS FIRST LIMIT 15"),
+                       "ORDER BY cancel_rate_pct NULLS FIRST, airline NULLS FIRST"),
     "ops_by_month": ("ops_summary", "flight_month", [_SCHEDULED, _CANCELLED, _CANCEL_RATE, _COMPLETION], ""),
     "ops_by_region": ("ops_summary", "dep_region", [_SCHEDULED, _CANCELLED, _CANCEL_RATE, _ON_TIME], ""),
     "ops_by_weekday": ("ops_summary", "weekday_name",
@@ -520,4 +539,9 @@ for _id, _n in GOLD_REPORT_QUERIES.items():
     _table, _key, _outputs, _order = _REPORTS[_n]
     Q[f"{_id}_{_n}"] = f"SELECT {_key}, {', '.join(_outputs)} FROM gold_{_table} GROUP BY {_key} {_order}"
 
+_WEIGHTED = "CAST(sum(CAST(cancellation_rate_pct AS DECIMAL(18,4)) * total_events) AS DOUBLE)"
+Q["weighted_cancel_by_region"] = f"""SELECT dep_region, {_EVENTS},
+  {dround(f"{_WEIGHTED} / sum(CASE WHEN cancellation_rate_pct IS NOT NULL THEN total_events END)", 2)} AS cancel_rate_pct
+  FROM gold_cancellation_analysis GROUP BY dep_region"""
+
 ORACLE_SQL: dict[str, str] = {name: with_tables(body) for name, body in Q.items()}

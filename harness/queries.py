@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aeroledger.functions import dates, delays, labels, measures
 from aeroledger.functions import fixed_values as fixed
 from aeroledger.operators import joins, profiling, rows, shaping
+from aeroledger.operators.summarize import aggregate, averaged, largest
 from aeroledger.plans import gold, medallion, reports, silver
 from aeroledger.sources import files
 from harness.fixtures import raw, scratch_dir, write_raw_csv
@@ -361,35 +362,26 @@ def a1_dedup(spark, sf_dir):
 
 @query
 def a5_rate(spark, sf_dir):
-    delayed = measures.flag(F.col("Dep_Delay") > 0)
-    return raw(spark, sf_dir, "flights").groupBy("Tail_Number").agg(
-        measures.rate(delayed, 1).alias("delayed_pct"), measures.rate(delayed, 2).alias("delayed_pct_2")
-    )
+    shares = [averaged("delayed_pct", gold.DELAYED, 1, percent=True), averaged("delayed_pct_2", gold.DELAYED, 2, percent=True)]
+    return aggregate(raw(spark, sf_dir, "flights"), ["Tail_Number"], shares)
 
 
 @query
 def a6_mean(spark, sf_dir):
-    return raw(spark, sf_dir, "flights").groupBy("Tail_Number").agg(
-        measures.mean(F.col("Arr_Delay"), 1).alias("avg_arr_delay"),
-        measures.mean(F.col("Flight_Duration"), 2).alias("avg_duration"),
-    )
+    means = [averaged("avg_arr_delay", "Arr_Delay", 1), averaged("avg_duration", "Flight_Duration", 2)]
+    return aggregate(raw(spark, sf_dir, "flights"), ["Tail_Number"], means)
 
 
 @query
 def a8_conditional_agg(spark, sf_dir):
-    diverted_delay = F.when(F.col("Diverted") == 1, F.col("Dep_Delay"))
-    return raw(spark, sf_dir, "cancelled").groupBy("Tail_Number").agg(
-        measures.mean(diverted_delay, 1).alias("diverted_avg"), F.max(diverted_delay).alias("diverted_max")
-    )
+    found = [averaged("diverted_avg", gold.DIVERTED_DELAY, 1), largest("diverted_max", gold.DIVERTED_DELAY)]
+    return aggregate(raw(spark, sf_dir, "cancelled"), ["Tail_Number"], found)
 
 
 @query
 def a9_ratio(spark, sf_dir):
-    left = F.col("Dep_Delay").isNotNull()
-    on_time = F.when(left, measures.flag(F.col("Dep_Delay") <= 0))
-    return raw(spark, sf_dir, "flights").groupBy("Tail_Number", "Day_Of_Week").agg(
-        measures.ratio(on_time, F.when(left, 1), 1).alias("on_time_pct")
-    )
+    share = [averaged("on_time_pct", gold.ON_TIME, 1, percent=True)]
+    return aggregate(raw(spark, sf_dir, "flights"), ["Tail_Number", "Day_Of_Week"], share)
 
 
 @query
@@ -413,6 +405,12 @@ def q2_profile_numeric(spark, sf_dir):
     return profiling.profile_numeric(raw(spark, sf_dir, "weather"))
 
 
+@query
+def q2_profile_numeric_int(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("int"))
+    return profiling.profile_numeric(raw(spark, sf_dir, "flights")).unionByName(profiling.profile_numeric(orders))
+
+
 @query
 def q3_low_cardinality(spark, sf_dir):
     return profiling.low_cardinality(raw(spark, sf_dir, "flights"))
@@ -451,11 +449,21 @@ def q6_nulls_airports(spark, sf_dir):
     return profiling.null_counts(Tables(spark, sf_dir).silver("airports"), cols)
 
 
+def _audit_query(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = raw(spark, sf_dir, name)
+        return profiling.audit_cleaning(source, rows.drop_copies(source), silver.SILVER[name](source))
+
+    return run
+
+
+for _name in fixed.RAW_FILES:
+    QUERIES[f"q7_audit_{_name}"] = _audit_query(_name)
+
+
 @query
-def q7_audit_flights(spark, sf_dir):
-    flights = raw(spark, sf_dir, "flights")
-    distinct = rows.drop_copies(flights)
-    return profiling.audit_cleaning(flights, distinct, silver.clean_flights(distinct))
+def duplicate_airports(spark, sf_dir):
+    return rows.duplicate_keys(raw(spark, sf_dir, "airports"), ["IATA_CODE"])
 
 
 @query
@@ -497,12 +505,23 @@ def gold_ops_summary_aligned(spark, sf_dir):
     return gold.ops_summary(t.silver("flights"), cancelled, t.silver("airports"))
 
 
-@query
-def medallion_tables(spark, sf_dir):
+def _medallion(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     base = scratch_dir(spark)
     for name, file in fixed.RAW_FILES.items():
         write_raw_csv(raw(spark, sf_dir, name), f"{base}/raw/{file}")
-    return medallion.build_all(spark, f"{base}/raw", base)
+    return base, medallion.build_all(spark, f"{base}/raw", base)
+
+
+@query
+def medallion_tables(spark, sf_dir):
+    return _medallion(spark, sf_dir)[1]
+
+
+@query
+def medallion_gold(spark, sf_dir):
+    base, _ = _medallion(spark, sf_dir)
+    table = files.read_table(spark, files.table_path(f"{base}/gold", "weather_delay_impact"))
+    return table.select(*Tables(spark, sf_dir).gold("weather_delay_impact").columns)
 
 
 # --- reports ------------------------------------------------------------------------------------
@@ -574,3 +593,8 @@ def _gold_report_query(report: str) -> Query:
 
 for _id, _name in GOLD_REPORT_QUERIES.items():
     QUERIES[f"{_id}_{_name}"] = _gold_report_query(_name)
+
+
+@query
+def weighted_cancel_by_region(spark, sf_dir):
+    return reports.gold_report(Tables(spark, sf_dir).gold("cancellation_analysis"), "cancel_by_region", weighted=True)

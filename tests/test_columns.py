@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from aeroledger.functions import dates, delays, labels, measures
 from aeroledger.functions import fixed_values as fixed
+from aeroledger.operators.summarize import aggregate, averaged, averaged_over, combine, largest
 from aeroledger.operators import rows, shaping
 
 CAUSES = list(fixed.DELAY_CAUSES.values())
@@ -111,7 +112,6 @@ def test_numbers(spark):
     got = values(spark, "lo double, hi double", data, measures.temp_range("lo", "hi"))
     assert got == [2.3, None, None, 0.1, 3.5]
     assert one(spark, "double", [0.0, 0.1, -1.0, None], measures.positive_flag) == [False, True, False, None]
-    assert one(spark, "int", [1, 0, None], lambda c: measures.flag(F.col(c) == 1)) == [1, 0, None]
 
 
 MINUTES = list(itertools.product([None, 0, 1, 2], repeat=5))
@@ -212,12 +212,19 @@ def test_duplicate_keys(spark):
 
 def test_rates_and_means(spark):
     df = spark.createDataFrame([(1, 3), (0, None), (None, 4), (1, 4)], "f int, v int")
-    got = df.agg(
-        measures.rate(F.col("f"), 1), measures.mean(F.col("v"), 1), measures.ratio(F.col("f"), F.col("v"), 2)
-    ).first()
-    assert tuple(got) == (66.7, 3.7, 18.18)
-    empty = df.filter("f = 9").agg(measures.ratio(F.col("f"), F.col("v"), 1), measures.rate(F.col("f"), 1)).first()
-    assert tuple(empty) == (None, None)
+    found = [averaged("a", "int(f = 1)", 1, percent=True), averaged("b", "v", 1), largest("c", "v")]
+    assert [tuple(r) for r in aggregate(df.withColumn("k", F.lit(1)), ["k"], found).collect()] == [(1, 66.7, 3.7, 4)]
+    nulls = df.select(F.lit(1).alias("k"), F.lit(None).cast("int").alias("f"), F.lit(None).cast("int").alias("v"))
+    assert [tuple(r) for r in aggregate(nulls, ["k"], found).collect()] == [(1, None, None, None)]
+
+
+def test_means_over_facts_do_not_depend_on_the_order(spark):
+    data = [(k, (7 * k * i % 391) / 10, 1 + (k + i) % 3) for k in range(1000) for i in range(1, 5)]
+    df = spark.createDataFrame(data, "k int, x double, facts long").coalesce(1)
+    mean = [averaged_over("m", "x", "facts", 1)]
+    up = combine(df.sortWithinPartitions("k", "x"), ["k"], mean)
+    down = combine(df.sortWithinPartitions(F.desc("k"), F.desc("x")), ["k"], mean)
+    assert sorted(map(tuple, up.collect())) == sorted(map(tuple, down.collect()))
 
 
 def test_exact_mean_rounds_decimal_ties_up_in_any_order(spark):

@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from harness.oracle import ORACLE_SQL as ORACLE
+from harness.queries import QUERIES
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
 DUCK_TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
@@ -18,6 +18,7 @@ DUCK_TYPES = {
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -38,3 +39,34 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
 
 def test_entry_has_rows(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+# report -> order of its rows; the comparison above sorts both sides
+ROW_ORDER = {
+    "r1_departure_status": "departure_status NULLS FIRST",
+    "r13_region": "us_region NULLS FIRST",
+    "r3_primary_cause": "count DESC, primary_delay_cause NULLS FIRST",
+    "r16_ontime_by_airline": "avg_on_time_pct DESC NULLS LAST, airline NULLS FIRST",
+    "r22_cancel_by_month": "flight_month NULLS FIRST",
+    "r26_ops_by_airline": "cancel_rate_pct NULLS FIRST, airline NULLS FIRST",
+    "r27_ops_by_month": "flight_month NULLS FIRST",
+    "r31_wx_cancel_by_wind": "cancel_rate_pct DESC NULLS LAST, wind_category NULLS FIRST",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ROW_ORDER))
+def test_report_rows_are_in_order(spark, duck, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    key = df.columns[0]
+    want = duck.execute(f"SELECT {key} FROM ({ORACLE[name]}) ORDER BY {ROW_ORDER[name]}").fetchall()
+    assert [r[key] for r in df.collect()] == [r[0] for r in want]
+
+
+def test_inputs_grow_with_the_tables(spark, sf_dir):
+    from harness.fixtures import raw
+
+    airports = raw(spark, sf_dir, "airports")
+    assert airports.count() == spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    larger = {n: raw(spark, "/root/testdata/sf0.01", n) for n in ("weather", "flights")}
+    assert larger["weather"].count() > 5 * raw(spark, sf_dir, "weather").count()
+    assert larger["flights"].select("Airline").distinct().count() > 15

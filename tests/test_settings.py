@@ -9,28 +9,10 @@ def test_small_input_keeps_the_cores_busy():
     assert got["spark.sql.files.maxPartitionBytes"] == str(128 * settings.MB)
 
 
-def test_partitions_grow_with_the_input_up_to_a_task_limit():
+def test_no_task_grows_without_bound():
     assert settings.shuffle_partitions(TB // 8) == 3072
-    assert settings.shuffle_partitions(100 * TB) == settings.MAX_TASKS
-    got = settings.settings_for(100 * TB, 4000)
-    assert 100 * TB / int(got["spark.sql.files.maxPartitionBytes"]) <= settings.MAX_TASKS
-    assert 300 * TB / int(got["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) <= settings.MAX_TASKS
-
-
-def test_input_bytes_is_the_file_size(spark, sf_dir):
-    import os
-
-    path = f"{sf_dir}/lineitem.parquet"
-    got = settings.input_bytes(spark, spark.read.parquet(path))
-    assert abs(got / os.path.getsize(path) - 1) < 0.01
-
-
-def test_session_is_only_raised(spark, sf_dir, conf, monkeypatch):
-    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    conf({"spark.sql.shuffle.partitions": "8"})
-    settings.raise_shuffle_partitions(spark, df)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
-    monkeypatch.setattr(settings, "TASK_BYTES", 1024)
-    settings.raise_shuffle_partitions(spark, df)
-    raised = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert raised == settings.shuffle_partitions(settings.input_bytes(spark, df)) > 8
+    for size in (TB, 10 * TB, 100 * TB, 1000 * TB):
+        got = settings.settings_for(size, 4000)
+        assert int(got["spark.sql.files.maxPartitionBytes"]) <= 1024 * settings.MB
+        assert int(got["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) <= 1024 * settings.MB
+        assert 3 * size / int(got["spark.sql.shuffle.partitions"]) <= 1024 * settings.MB

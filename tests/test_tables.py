@@ -236,3 +236,14 @@ def test_worst_routes_threshold(tables):
     got = reports.worst_routes(summary, gold.ROUTE_KEYS, min_scheduled=2)
     assert len(got.columns) == 7 and 0 < got.count() <= 10
     assert got.filter("total_scheduled < 2").count() == 0
+
+
+def test_reports_keep_every_group_unless_asked(spark):
+    months = [(m, 10, 4, 40.0) for m in [None, *range(1, 13)]]
+    schema = "flight_month int, total_events bigint, cancelled_count bigint, cancellation_rate_pct double"
+    gold = spark.createDataFrame(months, schema)
+    assert [r.flight_month for r in reports.gold_report(gold, "cancel_by_month").collect()] == [None, *range(1, 13)]
+    assert reports.gold_report(gold, "cancel_by_month", limit=5).count() == 5
+    airlines = gold.select(F.concat(F.lit("a"), F.col("flight_month")).alias("airline"), *gold.columns[1:])
+    many = airlines.unionByName(airlines.withColumn("airline", F.concat(F.lit("b"), "airline")))
+    assert reports.gold_report(many, "cancel_by_airline").count() == 25
