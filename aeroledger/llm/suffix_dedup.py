@@ -4,7 +4,8 @@ A byte goes if it is covered by a string of `length` bytes that also starts some
 
 1. Candidates. Every string of `length` bytes takes the smallest hash of its `gram`-byte pieces as its anchor, so equal strings have equal
    anchors wherever they are. Neighbouring strings mostly share an anchor: a run of them, with all their bytes, is a context.
-2. Only contexts whose anchor occurs again go on; equal ones become one with a weight, before any text is moved.
+2. Only contexts whose anchor occurs again go on; equal ones become one with a weight, before any text is moved. A context that is alone at
+   its anchor then repeats as a whole, as it has a weight of two or more and nothing to be compared with.
 3. All different contexts of an anchor meet in one task, which joins those of several anchors into one text and builds its Burrows-Wheeler
    transform, ordered as far as `length` bytes need. Intervals of suffixes are extended backwards by one byte, breadth first: level l finds
    the places where neighbouring suffixes share exactly l bytes. Levels end at `length`: between two places found, suffixes share at least
@@ -38,6 +39,7 @@ SEGMENT = 1 << 22
 MAX_CONTEXTS = 16_384
 BATCH_BYTES = 1 << 20
 TRANSFORM_BYTES = 2 << 20
+KEY = "__text_key"
 
 _BYTE_CODES = np.random.default_rng(2024).integers(0, 1 << 64, 256, dtype=np.uint64)
 _STEPS = np.random.default_rng(2025).integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -192,9 +194,41 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, text_key(F.col("text")))
+
+
+def _repeated_anchors(scanned: DataFrame, per_bucket: int = 500_000) -> DataFrame:
+    """anchor: those that occur twice or more in the arrays of column anchor.
+
+    Anchors travel packed by buckets, each batch's counts added up before, and a bucket holds about `per_bucket` of them.
+    """
+    total = scanned.agg(F.sum(F.size("anchor"))).first()[0] or 0
+    buckets = max(64, -(-total // per_bucket))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, n = np.unique(batch.column("anchor").flatten().to_numpy(), return_counts=True)
+            bucket = (found.view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            own, first = np.unique(bucket[order], return_index=True)
+            ends = pa.array(np.append(first, len(order)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (found, n.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *lists], ["bucket", "anchors", "counts"])
+
+    def unpack(bucket: pa.Table) -> pa.Table:
+        anchor, n = (np.concatenate([c.flatten().to_numpy() for c in bucket.column(x).chunks]) for x in ("anchors", "counts"))
+        anchor, which = np.unique(anchor, return_inverse=True)
+        return pa.table({"anchor": anchor[np.bincount(which, weights=n) > 1]})
+
+    packed = scanned.select("anchor").mapInArrow(pack, "bucket int, anchors array<long>, counts array<int>")
+    return packed.groupBy("bucket").applyInArrow(unpack, "anchor long")
+
+
 def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
     """doc_id, text_key and spans (array of first byte and end) of the documents that hold repeated strings; rows are distinct."""
-    rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs if KEY in docs.columns else _keyed(docs)
+    rows = keyed.select("doc_id", F.col(KEY).alias("text_key"), "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,28 +254,32 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_co
     )
     scanned = durable(scanned.withColumn("row", F.monotonically_increasing_id()))
 
-    # places of the contexts whose anchor occurs again
-    again = scanned.select(F.explode("anchor").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    last = F.expr(f"transform(first, (x, i) -> IF(i + 1 < size(first), first[i + 1], n_bytes - {length - 1}) - x)")
-    places = scanned.select("row", F.explode(F.arrays_zip("first", last.alias("n"), "anchor", "context")).alias("x")).select("row", "x.*")
-    places = durable(places.join(again.select("anchor"), "anchor", "left_semi"))
+    # places of the contexts whose anchor occurs again: `at` holds the first string of a run and, in the low bits, their number
+    again = _repeated_anchors(scanned)
+    at = F.expr(f"transform(first, (x, i) -> shiftleft(bigint(x), 10) + IF(i + 1 < size(first), first[i + 1], n_bytes - {length - 1}) - x)")
+    places = scanned.select("row", F.explode(F.arrays_zip(at.alias("at"), "anchor", "context")).alias("x")).select("row", "x.*")
+    places = durable(places.join(again, "anchor"))
+    first, n = F.expr("int(shiftright(at, 10))"), F.expr("int(at & 1023)")
 
     # every different context once, with its number of places and one of them
-    different = places.groupBy("anchor", "context").agg(F.count("*").alias("weight"), F.min(F.struct("row", "first", "n")).alias("at"))
-    per_anchor = different.groupBy("anchor").agg(F.count("*").alias("contexts"))
-    different = different.join(per_anchor, "anchor").select("anchor", "context", "weight", "contexts", "at.*")
-    wanted = different.groupBy("row").agg(
-        F.collect_list(F.struct("anchor", "context", "weight", "first", "n", (F.col("contexts") > max_contexts).alias("large"))).alias("wanted")
+    different = places.groupBy("anchor", "context").agg(F.count("*").alias("weight"), F.min(F.struct("row", "at")).alias("one"))
+    different = durable(different.select("anchor", "context", "weight", "one.*"))
+    per_anchor = different.groupBy("anchor").agg(F.count("*").alias("contexts")).where(F.col("contexts") > 1)
+    alone = different.join(per_anchor.select("anchor"), "anchor", "left_anti")
+    alone = alone.select("anchor", "context", F.array(F.lit(0)).alias("lo"), F.array(n).alias("hi"))
+    compared = different.join(per_anchor, "anchor").withColumn("large", F.col("contexts") > max_contexts)
+    wanted = compared.groupBy("row").agg(
+        F.collect_list(F.struct("anchor", "context", "weight", "large", first.alias("first"), n.alias("n"))).alias("__wanted")
     )
     names = scanned.select("row", "doc_id", "text_key")
-    wanted = wanted.join(names, "row").select(F.col("doc_id").alias("id"), F.col("text_key").alias("hash"), "wanted")
-    same_row = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("hash"))
-    # rows of equal id and text give the same bytes: equal contexts are made one again below
-    sources = rows.join(wanted, same_row).select("text", "wanted")
+    wanted = wanted.join(names, "row").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__hash"), "__wanted")
+    # rows of equal id and text give the same bytes: equal contexts are made one again below. All columns are kept up to here, so that the
+    # texts are dealt out once for this join and for the one that removes the repeats
+    sources = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(KEY) == F.col("__hash"))).select(*keyed.columns, "__wanted")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "text", BATCH_BYTES):
-            lists = part.column("wanted")
+            lists = part.column("__wanted")
             parent = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
             items = lists.flatten()
             texts = part.column("text").cast(pa.binary()).to_pylist()
@@ -287,15 +325,17 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_co
                 [*kept, pa.array(places.astype(np.int32)), pa.array(hashed.view(np.int64))], ["anchor", "context", "weight", "place", "string"]
             )
 
-    spelled = fetched.where("large").dropDuplicates(["anchor", "context"]).select("anchor", "context", "weight", "bytes")
-    spelled = spelled.mapInArrow(spell, "anchor long, context long, weight long, place int, string long")
-    common = spelled.groupBy("anchor", "string").agg(F.sum("weight").alias("n")).where(F.col("n") > 1).select("anchor", "string")
-    large = spelled.join(common, ["anchor", "string"], "left_semi").groupBy("anchor", "context").agg(F.array_sort(F.collect_list("place")).alias("lo"))
-    large = large.withColumn("hi", F.transform("lo", lambda x: x + 1))
-
-    answers = usual.unionByName(large).where(F.size("lo") > 0)
-    spans = places.join(answers, ["anchor", "context"]).select("row", F.col("first").alias("at"), "lo", "hi")
-    spans = spans.select("row", F.expr(f"transform(arrays_zip(lo, hi), x -> struct(at + x.lo AS lo, at + x.hi + {length - 1} AS hi))").alias("spans"))
+    answers = usual
+    if not compared.where("large").isEmpty():
+        spelled = fetched.where("large").dropDuplicates(["anchor", "context"]).select("anchor", "context", "weight", "bytes")
+        spelled = spelled.mapInArrow(spell, "anchor long, context long, weight long, place int, string long")
+        common = spelled.groupBy("anchor", "string").agg(F.sum("weight").alias("n")).where(F.col("n") > 1).select("anchor", "string")
+        found = spelled.join(common, ["anchor", "string"], "left_semi").groupBy("anchor", "context").agg(F.array_sort(F.collect_list("place")).alias("lo"))
+        answers = answers.unionByName(found.withColumn("hi", F.transform("lo", lambda x: x + 1)))
+
+    answers = alone.unionByName(answers.where(F.size("lo") > 0))
+    spans = places.join(answers, ["anchor", "context"]).select("row", first.alias("first"), "lo", "hi")
+    spans = spans.select("row", F.expr(f"transform(arrays_zip(lo, hi), x -> struct(first + x.lo AS lo, first + x.hi + {length - 1} AS hi))").alias("spans"))
     spans = spans.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return spans.join(names, "row").select("doc_id", "text_key", "spans").groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))
 
@@ -327,16 +367,17 @@ def _whole_anchors(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterato
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans and kept (binary): the text without repeated strings; columns of these names are replaced."""
     made = ("n_bytes", "n_removed", "n_spans", "kept")
-    spans = find_repeats(docs, length, gram, max_contexts).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
     rows = docs.drop(*made)
-    joined = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key(F.col("text")) == F.col("__key")), "left")
-    names = rows.columns
-    joined = joined.select(*names, F.coalesce("text", F.lit("")).alias("__text"), "__spans")
+    names, keyed = rows.columns, _keyed(rows)
+    spans = find_repeats(keyed, length, gram, max_contexts)
+    spans = spans.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__hash"), F.col("spans").alias("__spans"))
+    joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(KEY) == F.col("__hash")), "left")
+    joined = joined.select(*names, "__spans")
     schema = rows.schema.simpleString()[len("struct<") : -1] + ", n_bytes long, n_removed long, n_spans long, kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "__text", BATCH_BYTES):
-            texts = part.column("__text").cast(pa.binary()).to_pylist()
+        for part in by_bytes(batches, "text", BATCH_BYTES):
+            texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
             lists = part.column("__spans")
             ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
             flat = lists.flatten()

@@ -33,14 +33,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose passages that occur elsewhere; a character that is cut in the middle goes as well."""
-    cut = suffix_dedup.remove_repeats(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
-    text = F.when(F.col("row.text").isNotNull(), suffix_dedup.whole_characters(F.col("kept")))
-    changed = F.when(F.col("n_removed") > 0, text).otherwise(F.col("row.text"))
-    row = F.col("row").withField("text", changed)
-    if "n_chars" in docs.columns:
-        length = F.when(F.col("n_removed") > 0, F.length(changed).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
-        row = row.withField("n_chars", length)
-    return cut.select(row.alias("row")).select("row.*")
+    names = docs.columns
+    numbered = {c: c if c in ("doc_id", "text") else f"column_{i}" for i, c in enumerate(names)}
+    cut = suffix_dedup.remove_repeats(docs.withColumnsRenamed(numbered))
+    some = F.col("n_removed") > 0
+    text = F.when(some, suffix_dedup.whole_characters(F.col("kept"))).otherwise(F.col("text"))
+    if "n_chars" in names:
+        count = F.col(numbered["n_chars"])
+        cut = cut.withColumn(numbered["n_chars"], F.when(some, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(count))
+    return cut.withColumn("text", text).select(*[F.col(numbered[c]).alias(c) for c in names])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
