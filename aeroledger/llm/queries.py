@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.llm import best_fit, byte_bpe, graph_ann, language_id, lattice_dedup, license_scan, simhash_trie, suffix_dedup, token_counts, url_reputation
+from aeroledger.llm import (
+    best_fit,
+    byte_bpe,
+    graph_ann,
+    language_id,
+    lattice_dedup,
+    license_scan,
+    oracle,
+    simhash_trie,
+    suffix_dedup,
+    token_counts,
+    url_reputation,
+)
 from aeroledger.llm.url_reputation import Rule
 
 URL_RULES = (
@@ -36,7 +48,8 @@ def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_reputation.judge_urls(pages, page_outcomes(pages, _table(spark, sf_dir, "labels")), URL_RULES)
+    judged = url_reputation.judge_urls(pages, page_outcomes(pages, _table(spark, sf_dir, "labels")), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,4 +114,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_reputation": oracle.URL_REPUTATION,
+    "op8_lattice_dedup": oracle.LATTICE_DEDUP,
+    "op9_suffix_dedup": oracle.SUFFIX_DEDUP,
+}
