@@ -81,7 +81,9 @@ def slots_of(h: np.ndarray, k: int, n_slots: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(31))) >> np.uint64(7)) & np.uint64(n_slots - 1)
 
 
-def learn(docs: DataFrame, max_docs: int = 8_000, grams_per_lang: int = 60_000, n_slots: int = 1 << 19, min_share: float = 0.2, seed: int = 17) -> BloomModel:
+def learn(
+    docs: DataFrame, max_docs: int = 8_000, grams_per_lang: int = 60_000, n_slots: int = 1 << 19, min_share: float = 0.2, seed: int = 17
+) -> BloomModel:
     """Fit the filters on about `max_docs` documents (the bound of the sample), chosen by a hash of their ids.
 
     An n-gram joins the filter of each language in which it occurs at least twice and at least `min_share` as often (per n-gram) as where it

@@ -273,12 +273,17 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_co
     )
     names = scanned.select("row", "doc_id", "text_key")
     wanted = wanted.join(names, "row").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__hash"), "__wanted")
-    # rows of equal id and text give the same bytes: equal contexts are made one again below. All columns are kept up to here, so that the
-    # texts are dealt out once for this join and for the one that removes the repeats
+    # all columns are kept up to here, so that the texts are dealt out once for this join and for the one that removes the repeats
     sources = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(KEY) == F.col("__hash"))).select(*keyed.columns, "__wanted")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for part in by_bytes(batches, "text", BATCH_BYTES):
+            # equal rows are neighbours after the join; one of them is enough
+            keys = list(zip(part.column("doc_id").to_pylist(), part.column(KEY).to_pylist(), strict=True))
+            fresh = [a != b for a, b in zip(keys, [last, *keys], strict=False)]
+            last = keys[-1]
+            part = part.filter(pa.array(fresh))
             lists = part.column("__wanted")
             parent = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
             items = lists.flatten()
@@ -330,12 +335,14 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_co
         spelled = fetched.where("large").dropDuplicates(["anchor", "context"]).select("anchor", "context", "weight", "bytes")
         spelled = spelled.mapInArrow(spell, "anchor long, context long, weight long, place int, string long")
         common = spelled.groupBy("anchor", "string").agg(F.sum("weight").alias("n")).where(F.col("n") > 1).select("anchor", "string")
-        found = spelled.join(common, ["anchor", "string"], "left_semi").groupBy("anchor", "context").agg(F.array_sort(F.collect_list("place")).alias("lo"))
+        found = spelled.join(common, ["anchor", "string"], "left_semi").groupBy("anchor", "context")
+        found = found.agg(F.array_sort(F.collect_list("place")).alias("lo"))
         answers = answers.unionByName(found.withColumn("hi", F.transform("lo", lambda x: x + 1)))
 
     answers = alone.unionByName(answers.where(F.size("lo") > 0))
     spans = places.join(answers, ["anchor", "context"]).select("row", first.alias("first"), "lo", "hi")
-    spans = spans.select("row", F.expr(f"transform(arrays_zip(lo, hi), x -> struct(first + x.lo AS lo, first + x.hi + {length - 1} AS hi))").alias("spans"))
+    ends = f"transform(arrays_zip(lo, hi), x -> struct(first + x.lo AS lo, first + x.hi + {length - 1} AS hi))"
+    spans = spans.select("row", F.expr(ends).alias("spans"))
     spans = spans.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return spans.join(names, "row").select("doc_id", "text_key", "spans").groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))
 
