@@ -36,9 +36,9 @@ from aeroledger.llm.common import by_bytes, durable
 LENGTH = 200
 GRAM = 64
 SEGMENT = 1 << 22
-MAX_CONTEXTS = 16_384
+MAX_CONTEXTS = 8_192
 BATCH_BYTES = 1 << 20
-TRANSFORM_BYTES = 2 << 20
+TRANSFORM_BYTES = 1 << 20
 KEY = "__text_key"
 
 _BYTE_CODES = np.random.default_rng(2024).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -120,8 +120,8 @@ def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         key = rank[:n] * (n + 1) + rank[have:]
         have *= 2
     before = symbols[order - 1]  # the symbol before each suffix: the Burrows-Wheeler transform
-    step = np.empty(n, dtype=np.int64)
-    step[np.argsort(before, kind="stable")] = np.arange(n)
+    step = np.empty(n, dtype=np.int32)
+    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
     return order, step
 
 
@@ -138,7 +138,7 @@ def class_starts(symbols: np.ndarray, step: np.ndarray, order: np.ndarray, lengt
     lo, hi = np.array([0]), np.array([n])
     for _ in range(length):
         size = hi - lo
-        number = np.repeat(np.arange(len(lo)), size)
+        number = np.repeat(np.arange(len(lo), dtype=np.int32), size)
         places = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
         to = step[places]
         by_place = np.argsort(to)

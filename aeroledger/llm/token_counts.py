@@ -24,9 +24,9 @@ from sentencepiece import sentencepiece_model_pb2
 
 from aeroledger.llm.common import by_bytes
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: Parts whose counts a Python worker remembers, each of up to 64 characters; the memory is emptied when full.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 BLANK = "▁"
 PARTS = re.compile(r" +(?:\n[^ \n]*|[^ \n]*)|\n[^ \n]*|[^ \n]+")
 
