@@ -230,7 +230,8 @@ def near_duplicates(vectors: DataFrame, options: LatticeOptions = LatticeOptions
     counts = found.where(F.col("linked") > 0).groupBy("group").agg(F.sum("linked").alias("linked"))
     roots = connected_components(found.where(F.col("other").isNotNull()).select("group", "other")).withColumnRenamed("node", "group")
     named = groups.select("group", "label", "vector", "vec_id", "weight").join(roots, "group", "left").withColumn("root", F.coalesce("root", "group"))
-    smallest = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    # a table of its own, so that the join with the members of a large component can be split
+    smallest = durable(named.groupBy("root").agg(F.min("vec_id").alias("component_id")))
     named = named.join(smallest, "root").join(counts, "group", "left")
     named = named.select("label", "vector", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     linked = rows.where("valid").drop("valid").join(named, ["label", "vector"]).select("vec_id", "n_links", "component_id")

@@ -275,7 +275,8 @@ def _components(docs: DataFrame, similarity: float | None, seed: int, cells: dic
     rule = rule if similarity is None else similar_texts(n, similarity)
     roots = connected_components(links(distinct.select("fingerprint", "lanes"), rule, n, **cells)).withColumnRenamed("node", "fingerprint")
     named = distinct.drop("lanes").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("first"))
+    # a table of its own, so that the join with the members of a large component can be split
+    smallest = durable(named.groupBy("root").agg(F.min("first").alias("first")))
     return prints, named.drop("first").join(smallest, "root")
 
 
