@@ -5,9 +5,9 @@ with everything below it. `Rule` says how many bits may differ at which depth, a
 
 * `WITHIN_TWO_BITS` finds every pair of 64-bit fingerprints that differ in at most two bits: of three blocks one is equal, so the trie is
   built three times, each time with another block on top, and the walk allows no difference within that block.
-* `similar_texts` is for looser similarity. Fingerprints have 256 bits, of which each trie holds 64; a pair that stays within one differing
-  bit down to a depth that grows with the number of fingerprints is compared in all bits. Twenty tries find a pair at the threshold of 0.8
-  with about 95 %, and closer ones almost surely.
+* `similar_texts` is for looser similarity. A pair that stays within one differing bit down to a depth that grows with the number of
+  fingerprints is compared in 256 bits. The tries have windows of the fingerprint that do not overlap, and there are as many as a pair at the
+  threshold needs to be met with 99 % at this depth, whatever the number of fingerprints: 16 for ten thousand, 66 for ten million.
 
 The upper part of the walk is done by the shuffle: a cell is a pair of nodes at some depth, with the difference so far, and holds the
 fingerprints below them. A cell with too many of them is taken further down until it is small enough, so none is left out and none grows with
@@ -38,6 +38,10 @@ BITS = 64
 BATCH_BYTES = 1 << 20
 HASHES_AT_ONCE = 1 << 14
 PAIRS_AT_ONCE = 1 << 19
+CELL_ROWS = 40_000
+COMPARED = 4
+#: Least share of the pairs at the threshold of `similar_texts` that some trie brings together.
+RECALL = 0.99
 
 
 @dataclass(frozen=True)
@@ -46,9 +50,10 @@ class Rule:
 
     words: int  # of a shingle
     lanes: int  # 64-bit words of a fingerprint
+    compared: int  # of these, the first that are compared in all bits
     turns: tuple[int, ...]  # for each lane, the rotations that are tries
     exact_bits: int  # on top, none of these may differ
-    near_bits: int  # of these `near_errors` may differ; below, fingerprints are compared in all bits
+    near_bits: int  # of these `near_errors` may differ; below, fingerprints are compared
     near_errors: int
     budget: int  # differing bits in all
 
@@ -56,7 +61,7 @@ class Rule:
         return 0 if depth <= self.exact_bits else self.near_errors
 
 
-WITHIN_TWO_BITS = Rule(words=3, lanes=1, turns=(0, 21, 42), exact_bits=21, near_bits=64, near_errors=2, budget=2)
+WITHIN_TWO_BITS = Rule(words=3, lanes=1, compared=1, turns=(0, 21, 42), exact_bits=21, near_bits=64, near_errors=2, budget=2)
 
 
 def similar_texts(n: int, similarity: float = 0.8, words: int = 5) -> Rule:
@@ -66,10 +71,16 @@ def similar_texts(n: int, similarity: float = 0.8, words: int = 5) -> Rule:
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     near = min(48, max(16, n.bit_length() + 2))
-    return Rule(words, lanes=4, turns=(0, 13, 26, 39, 52), exact_bits=4, near_bits=near, near_errors=1, budget=round(4 * BITS * share))
+    exact = min(4, (n // CELL_ROWS).bit_length())
+    free = near - exact
+    met = (1 - share) ** near * (1 + free * share / (1 - share))  # in one trie
+    tries = math.ceil(math.log(1 - RECALL) / math.log(1 - met))
+    turns = tuple(range(0, BITS - near + 1, near))
+    lanes = max(COMPARED, -(-tries // len(turns)))
+    return Rule(words, lanes, COMPARED, turns, exact, near, near_errors=1, budget=round(COMPARED * BITS * share))
 
 
-_LANES = np.random.default_rng(64).integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LANES = np.random.default_rng(64).integers(0, 1 << 63, 1 << 11, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def fingerprint(text: str, words: int = 3, seed: int = 42, lanes: int = 1) -> np.ndarray:
@@ -180,7 +191,7 @@ def _links_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
     left, right = (np.uint64(table.column(c)[0].as_py() & (1 << BITS) - 1) for c in ("left", "right"))
     table = table.combine_chunks()
     values, names = table.column("value").to_numpy().view(np.uint64), table.column("fingerprint").to_numpy()
-    lanes = pa.chunked_array([c.flatten() for c in table.column("lanes").chunks]).to_numpy().view(np.uint64).reshape(-1, rule.lanes)
+    lanes = pa.chunked_array([c.flatten() for c in table.column("lanes").chunks]).to_numpy().view(np.uint64).reshape(-1, rule.compared)
     below = (values & _mask(depth)) == left
     order = np.lexsort((values, ~below)) if left != right else np.argsort(values)
     values, names, lanes = values[order], names[order], lanes[order]
@@ -226,7 +237,7 @@ def _next_cells(cells: DataFrame, step: int, rule: Rule) -> DataFrame:
 CELL = ["trie", "left", "right", "depth", "differing"]
 
 
-def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = 40_000, max_cell_rows: int = 200_000) -> DataFrame:
+def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, max_cell_rows: int = 200_000) -> DataFrame:
     """fingerprint and linked: a spanning forest, per cell, of the pairs of `n` distinct fingerprints that the rule links.
 
     `cell_rows` is the usual size of a cell, `max_cell_rows` the size from which a cell is taken further down.
@@ -249,7 +260,7 @@ def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = 40_000, max_
         F.lit(0).alias("differing"),
         "x.value",
         "fingerprint",
-        "lanes",
+        F.slice("lanes", 1, rule.compared).alias("lanes"),
     )
     done = None
     while True:
@@ -267,12 +278,11 @@ def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = 40_000, max_
 
 def _components(docs: DataFrame, similarity: float | None, seed: int, cells: dict[str, int]) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all rows, and per distinct fingerprint the first row (id, then hash of the text) of its component."""
-    rule = WITHIN_TWO_BITS if similarity is None else similar_texts(1, similarity)
+    rule = WITHIN_TWO_BITS if similarity is None else similar_texts(docs.count(), similarity)
     prints = durable(fingerprints(docs, rule.words, seed, rule.lanes))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     distinct = durable(prints.groupBy("fingerprint").agg(F.min(row).alias("first"), F.min("lanes").alias("lanes")))
     n = distinct.count()
-    rule = rule if similarity is None else similar_texts(n, similarity)
     roots = connected_components(links(distinct.select("fingerprint", "lanes"), rule, n, **cells)).withColumnRenamed("node", "fingerprint")
     named = distinct.drop("lanes").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     # a table of its own, so that the join with the members of a large component can be split

@@ -107,6 +107,22 @@ def test_similar_texts_link(spark):
     assert kept == {i for i, _ in rows if i % 3 != 1}
 
 
+@pytest.mark.parametrize("n", [10_000, 100_000, 1_000_000, 10_000_000, 100_000_000])
+def test_similar_texts_meet_at_every_size(n):
+    rule = simhash_trie.similar_texts(n)
+    share = np.arccos(2 * 0.8 / 1.8) / np.pi  # of the bits, by which fingerprints at the threshold differ
+    rng = np.random.default_rng(n)
+    met = 0
+    for _ in range(1_500):
+        differs = rng.random((rule.lanes, 64)) < share
+        for turn in rule.turns:
+            top = np.roll(differs, -turn, axis=1)[:, : rule.near_bits]
+            if ((top.sum(1) <= rule.near_errors) & ~top[:, : rule.exact_bits].any(1)).any():
+                met += 1
+                break
+    assert met >= 0.98 * 1_500
+
+
 def test_keep_one_edge_cases(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (1, "quite another text here"), (None, "no id"), (None, "no id"), (2, None), (3, ""), (9, "A B C D"), (4, "no id")]
     kept = simhash_trie.keep_one(as_docs(spark, rows))
