@@ -5,15 +5,18 @@ with everything below it. `Rule` says how many bits may differ at which depth, a
 
 * `WITHIN_TWO_BITS` finds every pair of 64-bit fingerprints that differ in at most two bits: of three blocks one is equal, so the trie is
   built three times, each time with another block on top, and the walk allows no difference within that block.
-* `similar_texts` is for looser similarity. A pair that stays within one differing bit down to a depth that grows with the number of
-  fingerprints is compared in 256 bits. The tries have windows of the fingerprint that do not overlap, and there are as many as a pair at the
+* `similar_texts` is for the Jaccard similarity of shingle sets, whose fingerprints only name candidates: a pair is linked if the shingles of
+  its texts, compared exactly, are similar enough. A pair that stays within one differing bit down to a depth that grows with the number of
+  fingerprints is compared in 256 bits, and is a candidate within three deviations of what the threshold lets expect. The tries have windows of the fingerprint that do not overlap, and there are as many as a pair at the
   threshold needs to be met with 99 % at this depth, whatever the number of fingerprints: 16 for ten thousand, 66 for ten million.
 
 The upper part of the walk is done by the shuffle: a cell is a pair of nodes at some depth, with the difference so far, and holds the
 fingerprints below them. A cell with too many of them is taken further down until it is small enough, so none is left out and none grows with
 the data. Inside a cell the walk is vectorised, and only a spanning forest of the links found leaves it. Equal fingerprints are one leaf.
+Candidates are verified in two rounds: first each text with its nearest and with one of its group, which joins most of a large group; then all
+candidate pairs that the first round left in different components.
 
-Edge cases: a null text is like an empty one, its fingerprint is zero and links like any other. A text of fewer words than a shingle is one
+Edge cases: a null text is like an empty one, its fingerprint is zero and links like any other; a text without words is similar to such texts only. A text of fewer words than a shingle is one
 shingle. Rows with the same text share a component. Null ids take no part in the smallest id; a component of null ids only has a null
 component_id. Only the named columns are read, so other columns cannot clash.
 """
@@ -21,7 +24,7 @@ component_id. Only the named columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate, repeat
 
@@ -65,7 +68,7 @@ WITHIN_TWO_BITS = Rule(words=3, lanes=1, compared=1, turns=(0, 21, 42), exact_bi
 
 
 def similar_texts(n: int, similarity: float = 0.8, words: int = 5) -> Rule:
-    """Rule for shingle sets of at least this Jaccard similarity, among `n` fingerprints.
+    """Rule for candidates: shingle sets of at least this Jaccard similarity, among `n` fingerprints.
 
     The cosine of two sets of similarity s is 2s / (1 + s), and a bit differs with the angle's share of a half turn.
     """
@@ -77,20 +80,19 @@ def similar_texts(n: int, similarity: float = 0.8, words: int = 5) -> Rule:
     tries = math.ceil(math.log(1 - RECALL) / math.log(1 - met))
     turns = tuple(range(0, BITS - near + 1, near))
     lanes = max(COMPARED, -(-tries // len(turns)))
-    return Rule(words, lanes, COMPARED, turns, exact, near, near_errors=1, budget=round(COMPARED * BITS * share))
+    bits = COMPARED * BITS
+    budget = round(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
+    return Rule(words, lanes, COMPARED, turns, exact, near, near_errors=1, budget=budget)
 
 
 _LANES = np.random.default_rng(64).integers(0, 1 << 63, 1 << 11, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def fingerprint(text: str, words: int = 3, seed: int = 42, lanes: int = 1) -> np.ndarray:
-    """Bit-wise majority of the XXH64 of all shingles of `words` words, A-Z lower-cased, blanks collapsed.
-
-    Lanes after the first take the hashes scrambled by a multiplication each.
-    """
+def shingles(text: str, words: int, seed: int) -> np.ndarray:
+    """XXH64 of all shingles of `words` words, A-Z lower-cased, blanks collapsed."""
     found = text.encode("utf-8", "replace").lower().split()
     if not found:
-        return np.zeros(lanes, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64)
     line = b" ".join(found)
     if len(found) < words:
         hashes = [xxhash.xxh64_intdigest(line, seed)]
@@ -98,7 +100,11 @@ def fingerprint(text: str, words: int = 3, seed: int = 42, lanes: int = 1) -> np
         starts = [0, *accumulate(len(w) + 1 for w in found)]
         ends = [s - 1 for s in starts[words:]]
         hashes = map(xxhash.xxh64_intdigest, map(line.__getitem__, map(slice, starts, ends)), repeat(seed))
-    values = np.fromiter(hashes, dtype="<u8")
+    return np.fromiter(hashes, dtype="<u8")
+
+
+def majority(values: np.ndarray, lanes: int = 1) -> np.ndarray:
+    """Bit-wise majority of hashes. Lanes after the first take the hashes scrambled by a multiplication each."""
     ones = np.zeros((lanes, BITS), dtype=np.int64)
     for i in range(0, len(values), HASHES_AT_ONCE):
         part = values[i : i + HASHES_AT_ONCE]
@@ -111,24 +117,36 @@ def fingerprint(text: str, words: int = 3, seed: int = 42, lanes: int = 1) -> np
     return np.packbits(2 * ones > len(values), axis=1, bitorder="little").view("<u8").ravel()
 
 
+def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of shingles."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
+
+
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, lanes: int = 1) -> DataFrame:
     """doc_id, hash of the text, lanes (array of 64-bit words as longs) and fingerprint of every row.
 
-    With one lane, fingerprint is that lane; with more it is a hash that names them.
+    With one lane, fingerprint is that lane; with more, shingles count once and it is a hash that names their set.
     """
     rows = docs.select("doc_id", _text_hash(F.col("text")).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, lanes array<long>"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, lanes array<long>, fingerprint long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "text", BATCH_BYTES):
-            found = np.concatenate([fingerprint(t, words, seed, lanes) for t in part.column("text").to_pylist()])
+            found, names = [], []
+            for text in part.column("text").to_pylist():
+                values = shingles(text, words, seed)
+                values = values if lanes == 1 else np.unique(values)
+                found.append(majority(values, lanes))
+                names.append(found[-1][0] if lanes == 1 else xxhash.xxh64_intdigest(values.tobytes()))
             ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * lanes)
+            of_rows = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found).view(np.int64)))
+            named = pa.array(np.array(names, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_hash"), pa.ListArray.from_arrays(ends, pa.array(found.view(np.int64)))],
-                ["doc_id", "text_hash", "lanes"],
+                [part.column("doc_id"), part.column("text_hash"), of_rows, named], ["doc_id", "text_hash", "lanes", "fingerprint"]
             )
 
-    return rows.mapInArrow(run, schema).withColumn("fingerprint", F.col("lanes")[0] if lanes == 1 else F.xxhash64("lanes"))
+    return rows.mapInArrow(run, schema)
 
 
 def _mask(depth: int) -> np.uint64:
@@ -185,8 +203,36 @@ def _row_pairs(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -
         yield np.repeat(rows[lo:hi], m), np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(start[lo:hi], m)
 
 
-def _links_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
-    """Spanning forest of the links in one cell: pairs of fingerprints."""
+class Nearest(LocalComponents):
+    """Besides components, the nearest of the linked rows for each row."""
+
+    def __init__(self, lanes: np.ndarray):
+        super().__init__(len(lanes))
+        self.lanes = lanes
+        self.nearest = np.full(len(lanes), np.iinfo(np.int64).max)  # bits that differ, then the row
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        differing = np.bitwise_count(self.lanes[i] ^ self.lanes[j]).sum(1, dtype=np.int64) << 32
+        np.minimum.at(self.nearest, i, differing | j)
+        np.minimum.at(self.nearest, j, differing | i)
+        super().link(i, j)
+
+
+class Across:
+    """Linked pairs of rows in different components."""
+
+    def __init__(self, component: np.ndarray):
+        self.component = component
+        self.left, self.right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        apart = self.component[i] != self.component[j]
+        self.left.append(i[apart])
+        self.right.append(j[apart])
+
+
+def _walk_cell(table: pa.Table, rule: Rule, links_of: Callable) -> tuple:
+    """Names of the rows of one cell, in the order of the walk, and what `links_of` (of lanes and components) has gathered in it."""
     depth, differing = (table.column(c)[0].as_py() for c in ("depth", "differing"))
     left, right = (np.uint64(table.column(c)[0].as_py() & (1 << BITS) - 1) for c in ("left", "right"))
     table = table.combine_chunks()
@@ -194,15 +240,39 @@ def _links_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
     lanes = pa.chunked_array([c.flatten() for c in table.column("lanes").chunks]).to_numpy().view(np.uint64).reshape(-1, rule.compared)
     below = (values & _mask(depth)) == left
     order = np.lexsort((values, ~below)) if left != right else np.argsort(values)
-    values, names, lanes = values[order], names[order], lanes[order]
-    links = LocalComponents(len(values))
+    values, lanes = values[order], lanes[order]
+    links = links_of(lanes, table.column("component").to_numpy()[order] if "component" in table.column_names else None)
     if len(values) > 1:
         walk(values, lanes, int(below.sum()), depth, differing, rule, links)
+    return names[order], links
+
+
+def _links_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
+    """Spanning forest of the links in one cell: pairs of fingerprints."""
+    names, links = _walk_cell(table, rule, lambda lanes, _: LocalComponents(len(lanes)))
     roots = links.roots()
-    moved = np.flatnonzero(roots != np.arange(len(values)))
+    moved = np.flatnonzero(roots != np.arange(len(names)))
     return pa.table({"fingerprint": names[moved], "linked": names[roots[moved]]})
 
 
+def _nearest_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
+    """For each fingerprint with links in one cell: the nearest, and the smallest of its component in the cell."""
+    names, links = _walk_cell(table, rule, lambda lanes, _: Nearest(lanes))
+    some = np.flatnonzero(links.nearest != np.iinfo(np.int64).max)
+    roots = links.roots()
+    least = names.copy()
+    np.minimum.at(least, roots, names)
+    nearest = links.nearest[some]
+    return pa.table({"fingerprint": names[some], "differing": nearest >> 32, "nearest": names[nearest & 0xFFFFFFFF], "least": least[roots[some]]})
+
+
+def _pairs_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
+    """All links in one cell between different components."""
+    names, links = _walk_cell(table, rule, lambda _, component: Across(component))
+    i, j = names[np.concatenate(links.left)], names[np.concatenate(links.right)]
+    return pa.table({"a": np.minimum(i, j), "b": np.maximum(i, j)})
+
+
 def _next_cells(cells: DataFrame, step: int, rule: Rule) -> DataFrame:
     """Take cells `step` bits further down: a value meets those whose next bits differ from its own in as many bits as are left."""
     masks = [m for m in range(1 << step) if m.bit_count() <= rule.near_errors]
@@ -228,17 +298,71 @@ def _next_cells(cells: DataFrame, step: int, rule: Rule) -> DataFrame:
         F.greatest("own", "other").alias("right"),
         (F.col("depth") + step).alias("depth"),
         (F.col("differing") + F.bit_count("flip")).cast("int").alias("differing"),
-        "value",
-        "fingerprint",
-        "lanes",
+        *[c for c in cells.columns if c not in CELL],
     )
 
 
 CELL = ["trie", "left", "right", "depth", "differing"]
 
 
-def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, max_cell_rows: int = 200_000) -> DataFrame:
-    """fingerprint and linked: a spanning forest, per cell, of the pairs of `n` distinct fingerprints that the rule links.
+def links(distinct: DataFrame, rule: Rule, n: int, **cells: int) -> DataFrame:
+    """fingerprint and linked: a spanning forest, per cell, of the pairs of `n` distinct fingerprints that the rule links."""
+    found = _cells(distinct, rule, n, **cells).groupBy(*CELL)
+    return found.applyInArrow(lambda table: _links_in_cell(table, rule), "fingerprint long, linked long")
+
+
+def similar_links(docs: DataFrame, distinct: DataFrame, rule: Rule, n: int, similarity: float, seed: int, **cells: int) -> DataFrame:
+    """a and b: pairs of distinct fingerprints whose texts have at least this Jaccard similarity. All candidates of the rule that are at least so
+    similar are connected by them."""
+    found = _cells(distinct.select("fingerprint", "lanes"), rule, n, **cells).groupBy(*CELL)
+    found = found.applyInArrow(lambda table: _nearest_in_cell(table, rule), "fingerprint long, differing long, nearest long, least long")
+    nearest = F.min(F.struct("differing", "nearest")).getField("nearest").alias("nearest")
+    some = durable(found.groupBy("fingerprint").agg(nearest, F.min("least").alias("least")))
+    texts = _texts(docs, distinct.join(some, "fingerprint", "left_semi"))
+
+    def pairs(other: str) -> DataFrame:
+        return some.select(F.least("fingerprint", other).alias("a"), F.greatest("fingerprint", other).alias("b")).where("a != b")
+
+    first = durable(_verified(pairs("nearest").unionByName(pairs("least")).distinct(), texts, rule.words, seed, similarity))
+    roots = connected_components(first.where("similar").select("a", "b")).withColumnRenamed("node", "fingerprint")
+    left = distinct.select("fingerprint", "lanes").join(some.select("fingerprint"), "fingerprint", "left_semi").join(roots, "fingerprint", "left")
+    left = durable(left.select("fingerprint", "lanes", F.coalesce("root", "fingerprint").alias("component")))
+    across = _cells(left, rule, left.count(), **cells).groupBy(*CELL).applyInArrow(lambda table: _pairs_in_cell(table, rule), "a long, b long")
+    across = across.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
+    return first.unionByName(_verified(across, texts, rule.words, seed, similarity)).where("similar").select("a", "b")
+
+
+def _texts(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """fingerprint and the text of one row that has it."""
+    chosen = distinct.select("fingerprint", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
+    rows = docs.select("doc_id", _text_hash(F.col("text")).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    return durable(rows.groupBy("fingerprint").agg(F.first("text").alias("text")))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
+    """a, b and similar: whether the shingle sets of their texts have at least this Jaccard similarity."""
+    for c in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("fingerprint").alias(c), F.col("text").alias(f"text_{c}")), c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = {}
+
+        def of(side: str, text: str) -> np.ndarray:
+            if side not in last or last[side][0] != text:
+                last[side] = text, np.unique(shingles(text, words, seed))
+            return last[side][1]
+
+        for part in by_bytes(batches, "text_a", BATCH_BYTES):
+            sides = zip(part.column("text_a").to_pylist(), part.column("text_b").to_pylist(), strict=True)
+            similar = [similarity_of(of("a", a), of("b", b)) >= similarity for a, b in sides]
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(similar, pa.bool_())], ["a", "b", "similar"])
+
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similar boolean")
+
+
+def _cells(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, max_cell_rows: int = 200_000) -> DataFrame:
+    """Cells that hold the `n` distinct fingerprints of all tries, small enough for a task each.
 
     `cell_rows` is the usual size of a cell, `max_cell_rows` the size from which a cell is taken further down.
     """
@@ -252,7 +376,8 @@ def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, m
         for lane in range(rule.lanes)
         for i, r in enumerate(rule.turns)
     ]
-    cells = distinct.select("fingerprint", "lanes", F.explode(F.array(*turned)).alias("x")).select(
+    rest = [c for c in distinct.columns if c not in ("fingerprint", "lanes")]
+    cells = distinct.select("fingerprint", "lanes", *rest, F.explode(F.array(*turned)).alias("x")).select(
         "x.trie",
         F.col("x.value").bitwiseAND(top).alias("left"),
         F.col("x.value").bitwiseAND(top).alias("right"),
@@ -261,6 +386,7 @@ def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, m
         "x.value",
         "fingerprint",
         F.slice("lanes", 1, rule.compared).alias("lanes"),
+        *rest,
     )
     done = None
     while True:
@@ -272,8 +398,7 @@ def links(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, m
         fits = cells.join(large, CELL, "left_anti")
         done = fits if done is None else done.unionByName(fits)
         cells = durable(_next_cells(cells.join(large, CELL, "left_semi"), 4, rule))
-    cells = cells if done is None else done.unionByName(cells)
-    return cells.groupBy(*CELL).applyInArrow(lambda table: _links_in_cell(table, rule), "fingerprint long, linked long")
+    return cells if done is None else done.unionByName(cells)
 
 
 def _components(docs: DataFrame, similarity: float | None, seed: int, cells: dict[str, int]) -> tuple[DataFrame, DataFrame]:
@@ -283,7 +408,11 @@ def _components(docs: DataFrame, similarity: float | None, seed: int, cells: dic
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     distinct = durable(prints.groupBy("fingerprint").agg(F.min(row).alias("first"), F.min("lanes").alias("lanes")))
     n = distinct.count()
-    roots = connected_components(links(distinct.select("fingerprint", "lanes"), rule, n, **cells)).withColumnRenamed("node", "fingerprint")
+    if similarity is None:
+        linked = links(distinct.select("fingerprint", "lanes"), rule, n, **cells)
+    else:
+        linked = similar_links(docs, distinct, rule, n, similarity, seed, **cells)
+    roots = connected_components(linked).withColumnRenamed("node", "fingerprint")
     named = distinct.drop("lanes").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     # a table of its own, so that the join with the members of a large component can be split
     smallest = durable(named.groupBy("root").agg(F.min("first").alias("first")))
@@ -293,8 +422,8 @@ def _components(docs: DataFrame, similarity: float | None, seed: int, cells: dic
 def components(docs: DataFrame, similarity: float | None = None, seed: int = 42, **cells: int) -> DataFrame:
     """doc_id, fingerprint (long) and component_id of every row; component_id is the smallest doc_id reachable over links.
 
-    Without `similarity`, fingerprints of three-word shingles link within two bits; with it, texts of about that similarity in five-word
-    shingles link.
+    Without `similarity`, fingerprints of three-word shingles link within two bits; with it, texts of at least that similarity in
+    five-word shingles link.
     """
     prints, of_print = _components(docs, similarity, seed, cells)
     of_print = of_print.select("fingerprint", F.col("first.doc_id").alias("component_id"))

@@ -123,6 +123,33 @@ def test_similar_texts_meet_at_every_size(n):
     assert met >= 0.98 * 1_500
 
 
+def test_similar_texts_around_the_threshold(spark):
+    rng = random.Random(11)
+    rows, sets = [], []
+    for _ in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        edited = [list(words) for _ in range(3)]
+        for e in edited:
+            n, at = rng.randrange(12, 60), rng.randrange(230)
+            e[at : at + n] = [f"v{rng.randrange(5000)}" for _ in range(n)]
+        rows += [" ".join(w) for w in (words, *edited)]
+    same = [f"s{rng.randrange(5000)}" for _ in range(300)]
+    for _ in range(40):  # one template with different contents, below the threshold
+        rows.append(" ".join(same[:250] + [f"u{rng.randrange(5000)}" for _ in range(50)]))
+    line = "a line that is repeated over and over "
+    rows += [line * 200 + " ".join(f"{c}{k}" for k in range(60)) for c in "xyz"]  # few shingles are common, though often
+    rows.append(rows[0].upper())
+    for t in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)})
+    shares = [[len(a & b) / len(a | b) for b in sets] for a in sets]
+    near = [x for i, r in enumerate(shares) for x in r[:i]]
+    assert sum(0.8 <= x < 0.84 for x in near) >= 8 and sum(0.7 <= x < 0.8 for x in near) >= 8
+    root = closure(len(rows), [[j for j, x in enumerate(r) if x >= 0.8] for r in shares])
+    kept = {r.doc_id for r in simhash_trie.keep_one(as_docs(spark, list(enumerate(rows))), 0.8).collect()}
+    assert kept == {i for i, r in enumerate(root) if i == r}
+
+
 def test_keep_one_edge_cases(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (1, "quite another text here"), (None, "no id"), (None, "no id"), (2, None), (3, ""), (9, "A B C D"), (4, "no id")]
     kept = simhash_trie.keep_one(as_docs(spark, rows))
