@@ -345,20 +345,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, seed: int, similar
     for c in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("fingerprint").alias(c), F.col("text").alias(f"text_{c}")), c)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = {}
-
-        def of(side: str, text: str) -> np.ndarray:
-            if side not in last or last[side][0] != text:
-                last[side] = text, np.unique(shingles(text, words, seed))
-            return last[side][1]
+    # the texts of a pair are two rows in turn, so that a batch of rows is no larger than one of documents
+    sides = pairs.select("a", "b", F.explode(F.array("text_a", "text_b")).alias("text"))
 
-        for part in by_bytes(batches, "text_a", BATCH_BYTES):
-            sides = zip(part.column("text_a").to_pylist(), part.column("text_b").to_pylist(), strict=True)
-            similar = [similarity_of(of("a", a), of("b", b)) >= similarity for a, b in sides]
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(similar, pa.bool_())], ["a", "b", "similar"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for part in by_bytes(batches, "text", BATCH_BYTES):
+            ends, similar = [], []
+            for k, text in enumerate(part.column("text").to_pylist()):
+                own = np.unique(shingles(text, words, seed))
+                if held is None:
+                    held = own
+                else:
+                    ends.append(k)
+                    similar.append(similarity_of(held, own) >= similarity)
+                    held = None
+            done = part.select(["a", "b"]).take(pa.array(ends, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*done.columns, pa.array(similar, pa.bool_())], ["a", "b", "similar"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similar boolean")
+    return sides.mapInArrow(run, "a long, b long, similar boolean")
 
 
 def _cells(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, max_cell_rows: int = 200_000) -> DataFrame:
@@ -389,7 +394,7 @@ def _cells(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS,
         *rest,
     )
     done = None
-    while True:
+    while n > max_cell_rows:  # no cell holds more than all
         # a cell at the depth of comparison holds near-duplicates only and goes no further
         open_cells = cells.where(F.col("depth") + 4 <= rule.near_bits)
         large = durable(open_cells.groupBy(*CELL).agg(F.count("*").alias("n")).where(F.col("n") > max_cell_rows).select(*CELL))
