@@ -1,10 +1,11 @@
 """Licence scan: a trained classifier of paragraphs, confirmed against templates.
 
-A paragraph (a line, in overlapping windows if it is long) is a sparse vector of the word n-grams that templates hold, scaled by the number of
+A paragraph is a run of lines that are not blank, in overlapping windows if it is long, besides each of its lines by itself; comment marks do
+not count, so hard-wrapped notices in files and source headers are whole. It is a sparse vector of the word n-grams that templates hold, scaled by the number of
 all its n-grams. Multinomial logistic regression tells the licence families and the class of all other text. It is trained on variations of
 the templates and on a bounded sample of paragraphs of the corpus; its probabilities are calibrated by a temperature fitted on rows that
-training did not see. A paragraph whose family is not probable enough is unknown. A predicted family is confirmed if the paragraph holds most of
-the n-grams of one of its templates.
+training did not see. A paragraph whose family is not probable enough is unknown. A paragraph of a probable family is confirmed if it holds most of
+the n-grams of a template, and belongs to the family whose template it holds most fully.
 
 Edge cases: a null or empty text has no paragraph and no licence. Repeated rows and null ids each give a row. Of several confirmed paragraphs
 the most probable names the licence, ties go to the first. Without any corpus paragraph the other class is trained on blank vectors only. Only
@@ -14,8 +15,10 @@ the named columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,8 @@ from aeroledger.llm.license_texts import TEMPLATES
 UNKNOWN = "unknown"
 WINDOW_WORDS, WINDOW_STEP = 60, 30
 WORDS = re.compile(r"[^\W_]+(?:\.\d+)*")
+#: Marks before the words of a line: of comments (rem and dnl as well) and quotations.
+REMARK = re.compile(r"^\s*(?:rem|dnl)\s")
 BATCH_BYTES = 1 << 20
 
 
@@ -37,11 +42,28 @@ def grams(words: list[str]) -> set[str]:
 
 
 def windows(text: str) -> Iterator[tuple[int, list[str]]]:
-    """Number of the line, and its words in windows that overlap by half."""
-    for number, line in enumerate(text.lower().split("\n")):
-        words = WORDS.findall(line)
-        for at in range(0, max(1, len(words) - WINDOW_STEP), WINDOW_STEP) if words else ():
-            yield number, words[at : at + WINDOW_WORDS]
+    """Number of the paragraph, and its words in windows: of each line, and of the lines joined."""
+    number, lines = 0, []
+    for line in [*text.lower().split("\n"), ""]:
+        words = WORDS.findall(REMARK.sub("", line))
+        if words:
+            lines.append(words)
+            continue
+        if lines:
+            for own in lines:
+                yield from ((number, w) for w in _cut(own))
+            if len(lines) > 1:
+                joined, ends = [w for own in lines for w in own], list(accumulate(map(len, lines)))
+                for at, w in zip(range(0, len(joined), WINDOW_STEP), _cut(joined), strict=False):
+                    if bisect_right(ends, at) < bisect_left(ends, at + len(w)):  # else one line holds the window
+                        yield number, w
+        number, lines = number + 1, []
+
+
+def _cut(words: list[str]) -> Iterator[list[str]]:
+    """Windows that overlap by half."""
+    for at in range(0, max(1, len(words) - WINDOW_STEP), WINDOW_STEP) if words else ():
+        yield words[at : at + WINDOW_WORDS]
 
 
 @dataclass(frozen=True)
@@ -159,7 +181,7 @@ def learn(docs: DataFrame, max_others: int = 3_000, seed: int = 3) -> LicenseMod
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "text", BATCH_BYTES):
-            found = [w for t in part.column("text").to_pylist() for w in _spread([w for _, w in windows(t)])]
+            found = [w for t in part.column("text").to_pylist() for w in _spread([w for line in t.lower().split("\n") for w in _cut(WORDS.findall(line))])]
             yield pa.RecordBatch.from_arrays([pa.array([" ".join(w) for w in found], pa.string())], ["words"])
 
     sample = texts.where(chosen).select("text").mapInArrow(cut, "words string").limit(2 * max_others).toArrow()
@@ -194,7 +216,8 @@ def scan(docs: DataFrame, model: LicenseModel, min_probability: float = 0.5, min
             if family == other or p[family] < min_probability:
                 continue
             predicted.add(line)
-            similar = model.similarity(words, family)
+            # notices share sentences: the family is the one whose template is held most fully
+            similar, _, family = max((model.similarity(words, f), f == family, f) for f in range(other))
             if similar < min_similarity:
                 continue
             confirmed.add(line)

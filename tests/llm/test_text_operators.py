@@ -3,6 +3,7 @@
 import base64
 import math
 import random
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -198,3 +199,50 @@ def test_license_edge_cases(spark, license_model):
     assert {r.license for r in got if r.doc_id == 4} == {"MIT", None}
     assert license_scan.scan(as_docs(spark, []), license_model).count() == 0
     assert license_scan.learn(as_docs(spark, []), max_others=10).families
+
+
+WRAPPED = {
+    "MIT": """Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+""",
+    "GPL": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+""",
+    "LGPL": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+""",
+    "Apache": """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0
+""",
+}
+
+
+@pytest.mark.parametrize("width", [None, 30])
+def test_wrapped_licenses(spark, license_model, width):
+    docs = []
+    for k, text in enumerate(WRAPPED.values()):
+        if width:  # narrower than any template
+            text = "\n\n".join("\n".join(textwrap.wrap(" ".join(license_scan.WORDS.findall(p)), width)) for p in text.split("\n\n"))
+        docs += [(2 * k, text), (2 * k + 1, "def main():\n    return 1\n\n" + text.replace("\n", "\r\n") + "\nimport os\n")]
+    docs.append((99, "words of other text\nthat go on over\nmany short lines\n" * 40))
+    got = {r.doc_id: r.license for r in license_scan.scan(as_docs(spark, docs), license_model).collect()}
+    assert got == {2 * k + i: name for k, name in enumerate(WRAPPED) for i in (0, 1)} | {99: None}
