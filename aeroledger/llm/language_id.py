@@ -11,12 +11,12 @@ languages; without any training row every document is `und`. Only the named colu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aeroledger.llm.common import by_bytes
@@ -186,6 +186,24 @@ def predict(docs: DataFrame, model: BloomModel, *keep: str | Column) -> DataFram
     return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, lang_share double")
 
 
+def accepts(spark: SparkSession, model: BloomModel, min_share: float) -> Callable[[Column], Column]:
+    """Function of a text column: whether the text has a letter and its language contains at least `min_share` of its n-grams.
+
+    Only the texts go to Python, and one boolean each comes back.
+    """
+    shared = spark.sparkContext.broadcast(model)
+
+    def judge(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in columns:
+            found = [pa.array([], pa.bool_())]
+            for part in by_bytes([pa.RecordBatch.from_arrays([texts], ["text"])], "text", BATCH_BYTES):
+                names, _, share = identify([t or "" for t in part.column("text").to_pylist()], shared.value)
+                found.append(pa.array((np.array(names, dtype=object) != UND) & (share >= min_share), pa.bool_()))
+            yield pa.concat_arrays(found)
+
+    return F.arrow_udf(judge, "boolean")
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether the document is kept from training: crc32 of the id as text, modulo 4, is 2 (false for a null id)."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))

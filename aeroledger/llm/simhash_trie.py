@@ -1,30 +1,25 @@
 """SimHash near-duplicates by a self-join of a binary trie of fingerprints.
 
 Pairs of trie nodes are walked together, top bit first; differing bits add up along the way and a pair whose sum exceeds the budget is left
-with everything below it. `Rule` says how many bits may differ at which depth, and which turns of the fingerprint are tries of their own.
+with everything below it. `Rule` says how long shingles are, how many bits may differ, and which turns of the fingerprint are tries of their own.
 
-* `WITHIN_TWO_BITS` finds every pair of 64-bit fingerprints that differ in at most two bits: of three blocks one is equal, so the trie is
-  built three times, each time with another block on top, and the walk allows no difference within that block.
-* `similar_texts` is for the Jaccard similarity of shingle sets, whose fingerprints only name candidates: a pair is linked if the shingles of
-  its texts, compared exactly, are similar enough. A pair that stays within one differing bit down to a depth that grows with the number of
-  fingerprints is compared in 256 bits, and is a candidate within three deviations of what the threshold lets expect. The tries have windows of the fingerprint that do not overlap, and there are as many as a pair at the
-  threshold needs to be met with 99 % at this depth, whatever the number of fingerprints: 16 for ten thousand, 66 for ten million.
+`WITHIN_TWO_BITS` finds every pair of 64-bit fingerprints that differ in at most two bits: of three blocks one is equal, so the trie is built
+three times, each time with another block on top, and the walk allows no difference within that block.
 
 The upper part of the walk is done by the shuffle: a cell is a pair of nodes at some depth, with the difference so far, and holds the
-fingerprints below them. A cell with too many of them is taken further down until it is small enough, so none is left out and none grows with
-the data. Inside a cell the walk is vectorised, and only a spanning forest of the links found leaves it. Equal fingerprints are one leaf.
-Candidates are verified in two rounds: first each text with its nearest and with one of its group, which joins most of a large group; then all
-candidate pairs that the first round left in different components.
+fingerprints below them. A cell with too many of them is taken further down until it is small enough: at the last bit it holds two fingerprints
+at most, so none is left out and none grows with the data. Inside a cell the walk is vectorised, and only a spanning forest of the links found
+leaves it. Equal fingerprints are one leaf.
 
-Edge cases: a null text is like an empty one, its fingerprint is zero and links like any other; a text without words is similar to such texts only. A text of fewer words than a shingle is one
+Edge cases: a null text is like an empty one, its fingerprint is zero and links like any other. A text of fewer words than a shingle is one
 shingle. Rows with the same text share a component. Null ids take no part in the smallest id; a component of null ids only has a null
-component_id. Only the named columns are read, so other columns cannot clash.
+component_id. A very long text is split into words by one task; its shingles are hashed one by one and counted some thousand at a time. Only the
+named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate, repeat
 
@@ -42,9 +37,6 @@ BATCH_BYTES = 1 << 20
 HASHES_AT_ONCE = 1 << 14
 PAIRS_AT_ONCE = 1 << 19
 CELL_ROWS = 40_000
-COMPARED = 4
-#: Least share of the pairs at the threshold of `similar_texts` that some trie brings together.
-RECALL = 0.99
 
 
 @dataclass(frozen=True)
@@ -52,40 +44,15 @@ class Rule:
     """Which fingerprints link."""
 
     words: int  # of a shingle
-    lanes: int  # 64-bit words of a fingerprint
-    compared: int  # of these, the first that are compared in all bits
-    turns: tuple[int, ...]  # for each lane, the rotations that are tries
+    turns: tuple[int, ...]  # the rotations that are tries
     exact_bits: int  # on top, none of these may differ
-    near_bits: int  # of these `near_errors` may differ; below, fingerprints are compared
-    near_errors: int
     budget: int  # differing bits in all
 
     def allowed(self, depth: int) -> int:
-        return 0 if depth <= self.exact_bits else self.near_errors
+        return 0 if depth <= self.exact_bits else self.budget
 
 
-WITHIN_TWO_BITS = Rule(words=3, lanes=1, compared=1, turns=(0, 21, 42), exact_bits=21, near_bits=64, near_errors=2, budget=2)
-
-
-def similar_texts(n: int, similarity: float = 0.8, words: int = 5) -> Rule:
-    """Rule for candidates: shingle sets of at least this Jaccard similarity, among `n` fingerprints.
-
-    The cosine of two sets of similarity s is 2s / (1 + s), and a bit differs with the angle's share of a half turn.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    near = min(48, max(16, n.bit_length() + 2))
-    exact = min(4, (n // CELL_ROWS).bit_length())
-    free = near - exact
-    met = (1 - share) ** near * (1 + free * share / (1 - share))  # in one trie
-    tries = math.ceil(math.log(1 - RECALL) / math.log(1 - met))
-    turns = tuple(range(0, BITS - near + 1, near))
-    lanes = max(COMPARED, -(-tries // len(turns)))
-    bits = COMPARED * BITS
-    budget = round(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
-    return Rule(words, lanes, COMPARED, turns, exact, near, near_errors=1, budget=budget)
-
-
-_LANES = np.random.default_rng(64).integers(0, 1 << 63, 1 << 11, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+WITHIN_TWO_BITS = Rule(words=3, turns=(0, 21, 42), exact_bits=21, budget=2)
 
 
 def shingles(text: str, words: int, seed: int) -> np.ndarray:
@@ -103,47 +70,25 @@ def shingles(text: str, words: int, seed: int) -> np.ndarray:
     return np.fromiter(hashes, dtype="<u8")
 
 
-def majority(values: np.ndarray, lanes: int = 1) -> np.ndarray:
-    """Bit-wise majority of hashes. Lanes after the first take the hashes scrambled by a multiplication each."""
-    ones = np.zeros((lanes, BITS), dtype=np.int64)
+def majority(values: np.ndarray) -> int:
+    """Bit-wise majority of hashes."""
+    ones = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(values), HASHES_AT_ONCE):
         part = values[i : i + HASHES_AT_ONCE]
-        for lane in range(lanes):
-            own = part
-            if lane:
-                own = (part ^ (part >> np.uint64(31))) * _LANES[lane]
-                own ^= own >> np.uint64(29)
-            ones[lane] += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
-    return np.packbits(2 * ones > len(values), axis=1, bitorder="little").view("<u8").ravel()
-
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
+    return int(np.packbits(2 * ones > len(values), bitorder="little").view("<u8")[0])
 
-def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sets of shingles."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / max(1, len(a) + len(b) - both)
 
-
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, lanes: int = 1) -> DataFrame:
-    """doc_id, hash of the text, lanes (array of 64-bit words as longs) and fingerprint of every row.
-
-    With one lane, fingerprint is that lane; with more, shingles count once and it is a hash that names their set.
-    """
+def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
+    """doc_id, hash of the text and fingerprint (64 bits as a long) of every row."""
     rows = docs.select("doc_id", _text_hash(F.col("text")).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, lanes array<long>, fingerprint long"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, fingerprint long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "text", BATCH_BYTES):
-            found, names = [], []
-            for text in part.column("text").to_pylist():
-                values = shingles(text, words, seed)
-                values = values if lanes == 1 else np.unique(values)
-                found.append(majority(values, lanes))
-                names.append(found[-1][0] if lanes == 1 else xxhash.xxh64_intdigest(values.tobytes()))
-            ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * lanes)
-            of_rows = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found).view(np.int64)))
-            named = pa.array(np.array(names, dtype=np.uint64).view(np.int64))
+            found = np.fromiter((majority(shingles(t.as_py(), words, seed)) for t in part.column("text")), np.uint64, part.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_hash"), of_rows, named], ["doc_id", "text_hash", "lanes", "fingerprint"]
+                [part.column("doc_id"), part.column("text_hash"), pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fingerprint"]
             )
 
     return rows.mapInArrow(run, schema)
@@ -154,7 +99,7 @@ def _mask(depth: int) -> np.uint64:
     return np.uint64(0) if depth == 0 else np.uint64(((1 << depth) - 1) << (BITS - depth))
 
 
-def walk(values: np.ndarray, lanes: np.ndarray, n_left: int, depth: int, differing: int, rule: Rule, links: LocalComponents) -> None:
+def walk(values: np.ndarray, n_left: int, depth: int, differing: int, rule: Rule, links: LocalComponents) -> None:
     """Link all rows that the rule links, starting from one pair of nodes.
 
     `values` (unsigned, turned) holds the sorted values below the left node, then, from `n_left` on, those below the right node; with
@@ -165,11 +110,10 @@ def walk(values: np.ndarray, lanes: np.ndarray, n_left: int, depth: int, differi
     work = [(depth, *(np.array([x]) for x in (*first, differing)))]
     while work:
         depth, a0, a1, b0, b1, diff = work.pop()
-        last = depth == rule.near_bits
-        ready = np.full(len(a0), True) if last else (a1 - a0 == 1) & (b1 - b0 == 1) & (a0 != b0)
-        for i, j in _row_pairs(a0[ready], a1[ready], b0[ready], b1[ready]):
-            close = np.bitwise_count(lanes[i] ^ lanes[j]).sum(1, dtype=np.int32) <= rule.budget
-            links.link(i[close], j[close])
+        ready = (a1 - a0 == 1) & (b1 - b0 == 1) & (a0 != b0)
+        i, j = a0[ready], b0[ready]
+        close = np.bitwise_count(values[i] ^ values[j]) <= rule.budget
+        links.link(i[close], j[close])
         a0, a1, b0, b1, diff = (x[~ready] for x in (a0, a1, b0, b1, diff))
         if not len(a0):
             continue
@@ -190,94 +134,28 @@ def walk(values: np.ndarray, lanes: np.ndarray, n_left: int, depth: int, differi
         work.append((depth + 1, *(x[alive] for x in (a0, a1, b0, b1, diff))))
 
 
-def _row_pairs(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of a row of [a0, a1) and one of [b0, b1), some at a time; within one range each pair once."""
-    left = np.repeat(np.arange(len(a0)), a1 - a0)
-    rows = np.arange(len(left)) - np.repeat(np.cumsum(a1 - a0) - (a1 - a0), a1 - a0) + a0[left]
-    start = np.where(a0[left] == b0[left], rows + 1, b0[left])
-    n = b1[left] - start
-    slot = (np.cumsum(n) - n) // PAIRS_AT_ONCE
-    cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), len(rows)]
-    for lo, hi in zip(cuts, cuts[1:], strict=False):
-        m = n[lo:hi]
-        yield np.repeat(rows[lo:hi], m), np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(start[lo:hi], m)
-
-
-class Nearest(LocalComponents):
-    """Besides components, the nearest of the linked rows for each row."""
-
-    def __init__(self, lanes: np.ndarray):
-        super().__init__(len(lanes))
-        self.lanes = lanes
-        self.nearest = np.full(len(lanes), np.iinfo(np.int64).max)  # bits that differ, then the row
-
-    def link(self, i: np.ndarray, j: np.ndarray) -> None:
-        differing = np.bitwise_count(self.lanes[i] ^ self.lanes[j]).sum(1, dtype=np.int64) << 32
-        np.minimum.at(self.nearest, i, differing | j)
-        np.minimum.at(self.nearest, j, differing | i)
-        super().link(i, j)
-
-
-class Across:
-    """Linked pairs of rows in different components."""
-
-    def __init__(self, component: np.ndarray):
-        self.component = component
-        self.left, self.right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-
-    def link(self, i: np.ndarray, j: np.ndarray) -> None:
-        apart = self.component[i] != self.component[j]
-        self.left.append(i[apart])
-        self.right.append(j[apart])
-
-
-def _walk_cell(table: pa.Table, rule: Rule, links_of: Callable) -> tuple:
-    """Names of the rows of one cell, in the order of the walk, and what `links_of` (of lanes and components) has gathered in it."""
+def _links_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
+    """Spanning forest of the links in one cell: pairs of fingerprints."""
     depth, differing = (table.column(c)[0].as_py() for c in ("depth", "differing"))
     left, right = (np.uint64(table.column(c)[0].as_py() & (1 << BITS) - 1) for c in ("left", "right"))
     table = table.combine_chunks()
     values, names = table.column("value").to_numpy().view(np.uint64), table.column("fingerprint").to_numpy()
-    lanes = pa.chunked_array([c.flatten() for c in table.column("lanes").chunks]).to_numpy().view(np.uint64).reshape(-1, rule.compared)
     below = (values & _mask(depth)) == left
     order = np.lexsort((values, ~below)) if left != right else np.argsort(values)
-    values, lanes = values[order], lanes[order]
-    links = links_of(lanes, table.column("component").to_numpy()[order] if "component" in table.column_names else None)
+    values, names = values[order], names[order]
+    links = LocalComponents(len(values))
     if len(values) > 1:
-        walk(values, lanes, int(below.sum()), depth, differing, rule, links)
-    return names[order], links
-
-
-def _links_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
-    """Spanning forest of the links in one cell: pairs of fingerprints."""
-    names, links = _walk_cell(table, rule, lambda lanes, _: LocalComponents(len(lanes)))
+        walk(values, int(below.sum()), depth, differing, rule, links)
     roots = links.roots()
     moved = np.flatnonzero(roots != np.arange(len(names)))
     return pa.table({"fingerprint": names[moved], "linked": names[roots[moved]]})
 
 
-def _nearest_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
-    """For each fingerprint with links in one cell: the nearest, and the smallest of its component in the cell."""
-    names, links = _walk_cell(table, rule, lambda lanes, _: Nearest(lanes))
-    some = np.flatnonzero(links.nearest != np.iinfo(np.int64).max)
-    roots = links.roots()
-    least = names.copy()
-    np.minimum.at(least, roots, names)
-    nearest = links.nearest[some]
-    return pa.table({"fingerprint": names[some], "differing": nearest >> 32, "nearest": names[nearest & 0xFFFFFFFF], "least": least[roots[some]]})
-
-
-def _pairs_in_cell(table: pa.Table, rule: Rule) -> pa.Table:
-    """All links in one cell between different components."""
-    names, links = _walk_cell(table, rule, lambda _, component: Across(component))
-    i, j = names[np.concatenate(links.left)], names[np.concatenate(links.right)]
-    return pa.table({"a": np.minimum(i, j), "b": np.maximum(i, j)})
-
-
 def _next_cells(cells: DataFrame, step: int, rule: Rule) -> DataFrame:
     """Take cells `step` bits further down: a value meets those whose next bits differ from its own in as many bits as are left."""
-    masks = [m for m in range(1 << step) if m.bit_count() <= rule.near_errors]
+    masks = [m for m in range(1 << step) if m.bit_count() <= rule.budget]
     down = cells.withColumn("flip", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-    allowed = F.when(F.col("depth") + step <= rule.exact_bits, 0).otherwise(rule.near_errors)
+    allowed = F.when(F.col("depth") + step <= rule.exact_bits, 0).otherwise(rule.budget)
     down = down.where(F.col("differing") + F.bit_count("flip") <= allowed)
     down = down.withColumns(
         {
@@ -298,7 +176,8 @@ def _next_cells(cells: DataFrame, step: int, rule: Rule) -> DataFrame:
         F.greatest("own", "other").alias("right"),
         (F.col("depth") + step).alias("depth"),
         (F.col("differing") + F.bit_count("flip")).cast("int").alias("differing"),
-        *[c for c in cells.columns if c not in CELL],
+        "value",
+        "fingerprint",
     )
 
 
@@ -311,61 +190,6 @@ def links(distinct: DataFrame, rule: Rule, n: int, **cells: int) -> DataFrame:
     return found.applyInArrow(lambda table: _links_in_cell(table, rule), "fingerprint long, linked long")
 
 
-def similar_links(docs: DataFrame, distinct: DataFrame, rule: Rule, n: int, similarity: float, seed: int, **cells: int) -> DataFrame:
-    """a and b: pairs of distinct fingerprints whose texts have at least this Jaccard similarity. All candidates of the rule that are at least so
-    similar are connected by them."""
-    found = _cells(distinct.select("fingerprint", "lanes"), rule, n, **cells).groupBy(*CELL)
-    found = found.applyInArrow(lambda table: _nearest_in_cell(table, rule), "fingerprint long, differing long, nearest long, least long")
-    nearest = F.min(F.struct("differing", "nearest")).getField("nearest").alias("nearest")
-    some = durable(found.groupBy("fingerprint").agg(nearest, F.min("least").alias("least")))
-    texts = _texts(docs, distinct.join(some, "fingerprint", "left_semi"))
-
-    def pairs(other: str) -> DataFrame:
-        return some.select(F.least("fingerprint", other).alias("a"), F.greatest("fingerprint", other).alias("b")).where("a != b")
-
-    first = durable(_verified(pairs("nearest").unionByName(pairs("least")).distinct(), texts, rule.words, seed, similarity))
-    roots = connected_components(first.where("similar").select("a", "b")).withColumnRenamed("node", "fingerprint")
-    left = distinct.select("fingerprint", "lanes").join(some.select("fingerprint"), "fingerprint", "left_semi").join(roots, "fingerprint", "left")
-    left = durable(left.select("fingerprint", "lanes", F.coalesce("root", "fingerprint").alias("component")))
-    across = _cells(left, rule, left.count(), **cells).groupBy(*CELL).applyInArrow(lambda table: _pairs_in_cell(table, rule), "a long, b long")
-    across = across.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    return first.unionByName(_verified(across, texts, rule.words, seed, similarity)).where("similar").select("a", "b")
-
-
-def _texts(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """fingerprint and the text of one row that has it."""
-    chosen = distinct.select("fingerprint", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
-    rows = docs.select("doc_id", _text_hash(F.col("text")).alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
-    return durable(rows.groupBy("fingerprint").agg(F.first("text").alias("text")))
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
-    """a, b and similar: whether the shingle sets of their texts have at least this Jaccard similarity."""
-    for c in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("fingerprint").alias(c), F.col("text").alias(f"text_{c}")), c)
-
-    # the texts of a pair are two rows in turn, so that a batch of rows is no larger than one of documents
-    sides = pairs.select("a", "b", F.explode(F.array("text_a", "text_b")).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for part in by_bytes(batches, "text", BATCH_BYTES):
-            ends, similar = [], []
-            for k, text in enumerate(part.column("text").to_pylist()):
-                own = np.unique(shingles(text, words, seed))
-                if held is None:
-                    held = own
-                else:
-                    ends.append(k)
-                    similar.append(similarity_of(held, own) >= similarity)
-                    held = None
-            done = part.select(["a", "b"]).take(pa.array(ends, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*done.columns, pa.array(similar, pa.bool_())], ["a", "b", "similar"])
-
-    return sides.mapInArrow(run, "a long, b long, similar boolean")
-
-
 def _cells(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS, max_cell_rows: int = 200_000) -> DataFrame:
     """Cells that hold the `n` distinct fingerprints of all tries, small enough for a task each.
 
@@ -374,15 +198,10 @@ def _cells(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS,
     depth = min(rule.exact_bits, (n // cell_rows).bit_length())
     top = F.lit(0 if depth == 0 else -1 << (BITS - depth)).cast("long")
     turned = [
-        F.struct(
-            F.lit(len(rule.turns) * lane + i).alias("trie"),
-            F.expr(f"shiftleft(lanes[{lane}], {r}) | shiftrightunsigned(lanes[{lane}], {BITS - r})" if r else f"lanes[{lane}]").alias("value"),
-        )
-        for lane in range(rule.lanes)
+        F.struct(F.lit(i).alias("trie"), F.expr(f"shiftleft(fingerprint, {r}) | shiftrightunsigned(fingerprint, {BITS - r})" if r else "fingerprint").alias("value"))
         for i, r in enumerate(rule.turns)
     ]
-    rest = [c for c in distinct.columns if c not in ("fingerprint", "lanes")]
-    cells = distinct.select("fingerprint", "lanes", *rest, F.explode(F.array(*turned)).alias("x")).select(
+    cells = distinct.select("fingerprint", F.explode(F.array(*turned)).alias("x")).select(
         "x.trie",
         F.col("x.value").bitwiseAND(top).alias("left"),
         F.col("x.value").bitwiseAND(top).alias("right"),
@@ -390,13 +209,10 @@ def _cells(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS,
         F.lit(0).alias("differing"),
         "x.value",
         "fingerprint",
-        F.slice("lanes", 1, rule.compared).alias("lanes"),
-        *rest,
     )
     done = None
     while n > max_cell_rows:  # no cell holds more than all
-        # a cell at the depth of comparison holds near-duplicates only and goes no further
-        open_cells = cells.where(F.col("depth") + 4 <= rule.near_bits)
+        open_cells = cells.where(F.col("depth") + 4 <= BITS)  # the last four bits tell few fingerprints apart
         large = durable(open_cells.groupBy(*CELL).agg(F.count("*").alias("n")).where(F.col("n") > max_cell_rows).select(*CELL))
         if large.isEmpty():
             break
@@ -406,31 +222,22 @@ def _cells(distinct: DataFrame, rule: Rule, n: int, cell_rows: int = CELL_ROWS,
     return cells if done is None else done.unionByName(cells)
 
 
-def _components(docs: DataFrame, similarity: float | None, seed: int, cells: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, rule: Rule, seed: int, cells: dict[str, int]) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all rows, and per distinct fingerprint the first row (id, then hash of the text) of its component."""
-    rule = WITHIN_TWO_BITS if similarity is None else similar_texts(docs.count(), similarity)
-    prints = durable(fingerprints(docs, rule.words, seed, rule.lanes))
+    prints = durable(fingerprints(docs, rule.words, seed))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    distinct = durable(prints.groupBy("fingerprint").agg(F.min(row).alias("first"), F.min("lanes").alias("lanes")))
-    n = distinct.count()
-    if similarity is None:
-        linked = links(distinct.select("fingerprint", "lanes"), rule, n, **cells)
-    else:
-        linked = similar_links(docs, distinct, rule, n, similarity, seed, **cells)
+    distinct = durable(prints.groupBy("fingerprint").agg(F.min(row).alias("first")))
+    linked = links(distinct.select("fingerprint"), rule, distinct.count(), **cells)
     roots = connected_components(linked).withColumnRenamed("node", "fingerprint")
-    named = distinct.drop("lanes").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    named = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     # a table of its own, so that the join with the members of a large component can be split
     smallest = durable(named.groupBy("root").agg(F.min("first").alias("first")))
     return prints, named.drop("first").join(smallest, "root")
 
 
-def components(docs: DataFrame, similarity: float | None = None, seed: int = 42, **cells: int) -> DataFrame:
-    """doc_id, fingerprint (long) and component_id of every row; component_id is the smallest doc_id reachable over links.
-
-    Without `similarity`, fingerprints of three-word shingles link within two bits; with it, texts of at least that similarity in
-    five-word shingles link.
-    """
-    prints, of_print = _components(docs, similarity, seed, cells)
+def components(docs: DataFrame, rule: Rule = WITHIN_TWO_BITS, seed: int = 42, **cells: int) -> DataFrame:
+    """doc_id, fingerprint (long) and component_id of every row; component_id is the smallest doc_id reachable over links of the rule."""
+    prints, of_print = _components(docs, rule, seed, cells)
     of_print = of_print.select("fingerprint", F.col("first.doc_id").alias("component_id"))
     return prints.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
@@ -439,12 +246,12 @@ def as_hex(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), BITS // 4, "0"))
 
 
-def keep_one(docs: DataFrame, similarity: float | None = None, seed: int = 42, **cells: int) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = WITHIN_TWO_BITS, seed: int = 42, **cells: int) -> DataFrame:
     """One row of `docs` of each component, all columns: the one with the smallest doc_id.
 
     Rows without an id come last. Rows that share an id are told apart by the hash of their text; of rows that are equal in both, one stays.
     """
-    prints, of_print = _components(docs, similarity, seed, cells)
+    prints, of_print = _components(docs, rule, seed, cells)
     first = durable(of_print.select(F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")).distinct())
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
     often = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)

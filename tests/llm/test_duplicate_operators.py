@@ -90,64 +90,34 @@ def test_walk_meets_every_close_pair():
         turned = np.array([(v << turn | v >> (64 - turn)) & (1 << 64) - 1 for v in values], dtype=np.uint64)
         order = np.argsort(turned)
         links = components.LocalComponents(len(values))
-        simhash_trie.walk(turned[order], np.array(values, dtype=np.uint64)[order][:, None], len(values), 0, 0, simhash_trie.WITHIN_TWO_BITS, links)
+        simhash_trie.walk(turned[order], len(values), 0, 0, simhash_trie.WITHIN_TWO_BITS, links)
         all_links.link(order, order[links.roots()])
     assert all_links.roots().tolist() == closure(len(values), linked)
 
 
-def test_similar_texts_link(spark):
-    rng = random.Random(8)
-    rows = []
-    for k in range(40):
-        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
-        edited = list(words)
-        edited[rng.randrange(300)] = "other"  # 5 of 296 shingles
-        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(edited)), (3 * k + 2, " ".join(words[:150] + [f"v{i}" for i in range(150)]))]
-    kept = {r.doc_id for r in simhash_trie.keep_one(as_docs(spark, rows), 0.8).collect()}
-    assert kept == {i for i, _ in rows if i % 3 != 1}
-
-
-@pytest.mark.parametrize("n", [10_000, 100_000, 1_000_000, 10_000_000, 100_000_000])
-def test_similar_texts_meet_at_every_size(n):
-    rule = simhash_trie.similar_texts(n)
-    share = np.arccos(2 * 0.8 / 1.8) / np.pi  # of the bits, by which fingerprints at the threshold differ
-    rng = np.random.default_rng(n)
-    met = 0
-    for _ in range(1_500):
-        differs = rng.random((rule.lanes, 64)) < share
-        for turn in rule.turns:
-            top = np.roll(differs, -turn, axis=1)[:, : rule.near_bits]
-            if ((top.sum(1) <= rule.near_errors) & ~top[:, : rule.exact_bits].any(1)).any():
-                met += 1
-                break
-    assert met >= 0.98 * 1_500
-
-
-def test_similar_texts_around_the_threshold(spark):
-    rng = random.Random(11)
-    rows, sets = [], []
-    for _ in range(60):
-        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
-        edited = [list(words) for _ in range(3)]
-        for e in edited:
-            n, at = rng.randrange(12, 60), rng.randrange(230)
-            e[at : at + n] = [f"v{rng.randrange(5000)}" for _ in range(n)]
-        rows += [" ".join(w) for w in (words, *edited)]
-    same = [f"s{rng.randrange(5000)}" for _ in range(300)]
-    for _ in range(40):  # one template with different contents, below the threshold
-        rows.append(" ".join(same[:250] + [f"u{rng.randrange(5000)}" for _ in range(50)]))
-    line = "a line that is repeated over and over "
-    rows += [line * 200 + " ".join(f"{c}{k}" for k in range(60)) for c in "xyz"]  # few shingles are common, though often
-    rows.append(rows[0].upper())
-    for t in rows:
-        w = t.lower().split()
-        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)})
-    shares = [[len(a & b) / len(a | b) for b in sets] for a in sets]
-    near = [x for i, r in enumerate(shares) for x in r[:i]]
-    assert sum(0.8 <= x < 0.84 for x in near) >= 8 and sum(0.7 <= x < 0.8 for x in near) >= 8
-    root = closure(len(rows), [[j for j, x in enumerate(r) if x >= 0.8] for r in shares])
-    kept = {r.doc_id for r in simhash_trie.keep_one(as_docs(spark, list(enumerate(rows))), 0.8).collect()}
-    assert kept == {i for i, r in enumerate(root) if i == r}
+def test_components_with_a_third_of_all_rows_in_one_group(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(400)}" for _ in range(600)]
+    family = [" ".join([*words[:k], "x", *words[k + 1 :]]) for k in range(0, 600, 6)] + [" ".join(words)] * 50
+    rest = [" ".join(f"v{rng.randrange(900)}" for _ in range(60)) for _ in range(300)]
+    texts = family + rest
+    rng.shuffle(texts)
+    prints = [plain_fingerprint(t) for t in texts]
+    root = closure(len(texts), [[j for j, q in enumerate(prints) if (p ^ q).bit_count() <= 2] for p in prints])
+    assert max(Counter(root).values()) >= 100
+    docs = as_docs(spark, list(enumerate(texts)))
+    for cells in ({}, {"cell_rows": 4, "max_cell_rows": 3}):
+        got = simhash_trie.components(docs, **cells).collect()
+        assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+    assert {r.doc_id for r in simhash_trie.keep_one(docs).collect()} == set(root)
+
+
+def test_fingerprint_of_a_very_long_text(spark):
+    rng = random.Random(2)
+    text = " ".join(f"W{rng.randrange(10**6)}" for _ in range(300_000))
+    got = simhash_trie.components(as_docs(spark, [(1, text), (2, text.lower()), (3, "short")]))
+    want = f"{plain_fingerprint(text):016x}"
+    assert sorted(map(tuple, got.select("doc_id", simhash_trie.as_hex("fingerprint"), "component_id").collect()))[:2] == [(1, want, 1), (2, want, 1)]
 
 
 def test_keep_one_edge_cases(spark):
