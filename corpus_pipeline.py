@@ -14,21 +14,18 @@ from aeroledger.llm import best_fit, language_id, simhash_trie, suffix_dedup, to
 
 #: Least share of a document's n-grams that its language has to contain; texts of a known language have more than half.
 MIN_LANGUAGE_SHARE = 0.3
-#: Near-duplicates are texts of about this similarity in five-word shingles.
-SIMILARITY = 0.8
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in no known language, go."""
     model = language_id.learn(docs)
-    judged = language_id.predict(docs, model, F.struct(*docs.columns).alias("row"))
-    kept = (F.col("lang_pred") != language_id.UND) & (F.col("lang_share") >= MIN_LANGUAGE_SHARE)
-    return judged.where(kept).select("row.*")
+    accepted = language_id.accepts(spark, model, MIN_LANGUAGE_SHARE)
+    return docs.where(accepted(F.col("text")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
-    return simhash_trie.keep_one(docs, SIMILARITY)
+    """One document of each group stays, the one with the smallest id: three-word shingles, fingerprints within two bits."""
+    return simhash_trie.keep_one(docs, simhash_trie.WITHIN_TWO_BITS)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
