@@ -88,3 +88,15 @@ texts AS (
 SELECT doc_id, len(d.h) // 2 AS n_bytes, (len(d.h) - len(t.h)) // 2 AS n_removed,
   (SELECT count(*) FROM runs r WHERE r.row = d.row) AS n_spans, sha256(unhex(t.h)) AS kept_sha256
 FROM d JOIN texts t USING (row)"""
+
+LINE_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (
+  SELECT row, i, lines[i] AS line, translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT row, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+shared AS (SELECT key FROM l WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10),
+marked AS (SELECT row, i, line, key IN (SELECT key FROM shared) AS gone FROM l)
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked JOIN d USING (row) GROUP BY row, doc_id"""

@@ -15,6 +15,7 @@ from aeroledger.llm import (
     language_id,
     lattice_dedup,
     license_scan,
+    line_dedup,
     oracle,
     simhash_trie,
     suffix_dedup,
@@ -101,6 +102,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, license_scan.learn(docs))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_frequent_lines(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_bloom": op2_language_bloom,
@@ -112,10 +118,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_dedup": op8_lattice_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_license_scan": op10_license_scan,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_reputation": oracle.URL_REPUTATION,
     "op8_lattice_dedup": oracle.LATTICE_DEDUP,
     "op9_suffix_dedup": oracle.SUFFIX_DEDUP,
+    "op13_line_dedup": oracle.LINE_DEDUP,
 }
