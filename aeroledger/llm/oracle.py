@@ -100,3 +100,31 @@ marked AS (SELECT row, i, line, key IN (SELECT key FROM shared) AS gone FROM l)
 SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked JOIN d USING (row) GROUP BY row, doc_id"""
+
+
+def centroid_clusters(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Lloyd's rounds, one pair of statements after another, with every distance computed."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT row, any_value(v.x) AS x, any_value(vec_id) AS vec_id, min({{'d': list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'c': c.c}}) AS best
+  FROM v, c{r} c GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(any_value(n.x), any_value(c.x)) AS x FROM c{r} c LEFT JOIN (
+    SELECT c, list(floor(s / n)::BIGINT ORDER BY i) AS x FROM (
+      SELECT best.c AS c, i, sum(x[i])::DOUBLE AS s, count(*) AS n FROM a{r}, range(1, {dims} + 1) t(i) GROUP BY best.c, i) GROUP BY c) n
+  ON n.c = c.c GROUP BY c.c)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor({scale} * x)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda y: y IS NULL OR isnan(y) OR isinf(y))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), x) - 1 AS c, x FROM v ORDER BY sha256('{seed}:' || vec_id), x LIMIT {k}),
+{",".join(steps).strip()},
+digests AS (SELECT c, sha256(array_to_string(x, ',')) AS centroid_sha256 FROM c{rounds})
+SELECT vec_id, best.c::INTEGER AS cluster, best.d::BIGINT AS distance, (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+  (sum(best.d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN digests ON digests.c = best.c"""

@@ -21,6 +21,7 @@ from aeroledger.llm import (
     suffix_dedup,
     token_counts,
     url_reputation,
+    va_clusters,
 )
 from aeroledger.llm.url_reputation import Rule
 
@@ -102,6 +103,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, license_scan.learn(docs))
 
 
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clusters.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.drop_frequent_lines(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_dedup": op8_lattice_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_license_scan": op10_license_scan,
+    "op12_va_clusters": op12_va_clusters,
     "op13_line_dedup": op13_line_dedup,
 }
 
@@ -125,5 +131,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_url_reputation": oracle.URL_REPUTATION,
     "op8_lattice_dedup": oracle.LATTICE_DEDUP,
     "op9_suffix_dedup": oracle.SUFFIX_DEDUP,
+    "op12_va_clusters": oracle.centroid_clusters(),
     "op13_line_dedup": oracle.LINE_DEDUP,
 }

@@ -1,12 +1,16 @@
-"""Shared lines against brute force."""
+"""Shared lines and centroid clusters against brute force."""
 
+import hashlib
 import random
 import string
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from aeroledger.llm import line_dedup
+from aeroledger.llm import line_dedup, va_clusters
+from aeroledger.llm.va_clusters import ClusterOptions, Grid
 from conftest import final_plan
 
 DOCS = "doc_id long, text string, h1 string, lines string, dropped string"
@@ -56,3 +60,82 @@ def test_shared_lines_are_counted_before_the_shuffle(spark, conf):
     plan = final_plan(cleaned)
     assert "Python" not in plan and "Arrow" not in plan.replace("ArrowToRow", "")
     assert {r.n_dropped for r in cleaned.collect()} == {1}
+
+
+# ---- centroid clusters
+
+
+def plain_clusters(rows, options):
+    """Lloyd's rounds in Python integers."""
+    kept = [(i, [int(np.floor(options.scale * float(x))) for x in v]) for i, v in rows if v is not None and len(v) == options.dims and all(x is not None and np.isfinite(x) for x in v)]
+    by_hash = sorted(kept, key=lambda r: (hashlib.sha256(f"{options.seed}:{r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [x for _, x in by_hash[: options.clusters]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), k) for k, c in enumerate(centroids)) for _, x in kept]
+
+    for _ in range(options.rounds):
+        found = assign()
+        for k in range(len(centroids)):
+            own = [x for (_, x), (_, c) in zip(kept, found, strict=True) if c == k]
+            if own:
+                centroids[k] = [sum(col) // len(own) for col in zip(*own, strict=True)]
+    found = assign()
+    inertia = [sum(d for d, c in found if c == k) for k in range(len(centroids))]
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i, c, d, inertia[c], sum(inertia), digest[c]) for (i, _), (d, c) in zip(kept, found, strict=True)), key=repr)
+
+
+def vectors_of(rng, n, dims, centres=5, noise=0.1):
+    middle = rng.normal(size=(centres, dims))
+    return (middle[rng.integers(0, centres, n)] + noise * rng.normal(size=(n, dims))).tolist()
+
+
+@pytest.mark.parametrize(("dims", "noise", "bits"), [(4, 0.5, 2), (4, 0.02, 6), (64, 0.1, 6), (3, 2.0, 1)])
+def test_clusters_as_brute_force(spark, dims, noise, bits):
+    rng = np.random.default_rng(dims)
+    rows = list(enumerate(vectors_of(rng, 200, dims, noise=noise)))
+    rows += [(900, None), (901, [1.0] * (dims + 1)), (902, [float("nan")] * dims), (903, [None] * dims), (904, [float("inf")] * dims), (905, [])]
+    rows += rows[:9] + [(950, [-30_000.0] * dims), (951, [0.0] * dims), (952, [-0.0] * dims)]
+    options = ClusterOptions(dims=dims, bits=bits)
+    frame = spark.createDataFrame([(i, v, "clash", "clash") for i, v in rows], "vec_id long, embedding array<double>, components string, cells string")
+    got = sorted((tuple(r) for r in va_clusters.cluster(frame.repartition(5), options).collect()), key=repr)
+    assert got == plain_clusters(rows, options)
+
+
+def test_cluster_edge_cases(spark):
+    kind = "vec_id long, embedding array<float>"
+    same = [(i % 3, [0.5] * 64) for i in range(20)]
+    options = ClusterOptions()
+    for rows in (same, same[:2], [(5, None)], []):
+        got = va_clusters.cluster(spark.createDataFrame(rows, kind), options)
+        assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_clusters(rows, options)
+    no_id = va_clusters.cluster(spark.createDataFrame([*same, (None, [9.0] * 64)], kind), ClusterOptions(clusters=2))
+    assert no_id.where("vec_id IS NULL").count() == 1 and no_id.count() == 21
+    with pytest.raises(Exception, match="beyond"):
+        va_clusters.cluster(spark.createDataFrame([(1, [1e9] * 64)], kind)).collect()
+
+
+def test_approximation_bounds_distances_and_saves_fetches(spark):
+    rng = np.random.default_rng(7)
+    x = np.floor(1024 * np.array(vectors_of(rng, 3_000, 64, centres=8, noise=0.3))).astype(np.int64)
+    grid = Grid.fit(x.min(0), x.max(0), x.mean(0), x.std(0), 6)
+    cells = grid.cells(x)
+    packed = grid.pack(cells)
+    assert packed.shape == (3_000, 48) and (grid.unpack(packed) == cells).all()
+    centroids = x[:8]
+    best, squared = va_clusters.nearest(x, centroids)
+    least, largest = grid.tables(centroids)
+    low, high = (sum(t[d][cells[:, d]] for d in range(64)) for t in (least, largest))
+    every = ((x[:, None, :] - centroids) ** 2).sum(2)
+    own = (x * x).sum(1)[:, None]
+    assert (low + own <= every).all() and (every <= high + own).all() and (every.min(1) == squared).all()
+    alone = va_clusters.settled(cells, (least, largest))
+    assert (alone[alone >= 0] == best[alone >= 0]).all() and (alone >= 0).mean() > 0.6
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, components array<int>")
+    table = va_clusters.approximate(frame, grid)
+    fetched = table.where(va_clusters._open(table, grid, centroids, centroids))
+    assert fetched.count() == (alone < 0).sum()
+    plan = fetched.select(F.sum(F.col("components")[0])).selectExpr("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
