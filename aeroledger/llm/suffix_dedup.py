@@ -23,13 +23,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from aeroledger.llm.common import by_bytes, durable
 
@@ -371,8 +369,13 @@ def _whole_anchors(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterato
         yield pa.Table.from_batches(held)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
-    """`docs` with n_bytes, n_removed, n_spans and kept (binary): the text without repeated strings; columns of these names are replaced."""
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_contexts: int = MAX_CONTEXTS, as_text: bool = False
+) -> DataFrame:
+    """`docs` with n_bytes, n_removed, n_spans and kept (binary): the text without repeated strings; columns of these names are replaced.
+
+    With `as_text`, kept is a string without characters that a cut has broken, and null where nothing is removed.
+    """
     made = ("n_bytes", "n_removed", "n_spans", "kept")
     rows = docs.drop(*made)
     names, keyed = rows.columns, _keyed(rows)
@@ -380,7 +383,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__hash"), F.col("spans").alias("__spans"))
     joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(KEY) == F.col("__hash")), "left")
     joined = joined.select(*names, "__spans")
-    schema = rows.schema.simpleString()[len("struct<") : -1] + ", n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = rows.schema.simpleString()[len("struct<") : -1] + ", n_bytes long, n_removed long, n_spans long, kept " + ("string" if as_text else "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "text", BATCH_BYTES):
@@ -396,15 +399,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([n for _, n, _ in left], pa.int64()),
                     pa.array([n for _, _, n in left], pa.int64()),
-                    pa.array([t for t, _, _ in left], pa.binary()),
+                    pa.array([t.decode("utf-8", "ignore") if n else None for t, n, _ in left], pa.string()) if as_text else pa.array([t for t, _, _ in left], pa.binary()),
                 ],
                 [*names, *made],
             )
 
     return joined.mapInArrow(run, schema)
-
-
-@F.pandas_udf(StringType())
-def whole_characters(kept: pd.Series) -> pd.Series:
-    """UTF-8 text of bytes, without characters that a cut has broken."""
-    return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
