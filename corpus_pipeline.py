@@ -32,9 +32,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Texts lose passages that occur elsewhere; a character that is cut in the middle goes as well."""
     names = docs.columns
     numbered = {c: c if c in ("doc_id", "text") else f"column_{i}" for i, c in enumerate(names)}
-    cut = suffix_dedup.remove_repeats(docs.withColumnsRenamed(numbered))
-    some = F.col("n_removed") > 0
-    text = F.when(some, suffix_dedup.whole_characters(F.col("kept"))).otherwise(F.col("text"))
+    cut = suffix_dedup.remove_repeats(docs.withColumnsRenamed(numbered), as_text=True)
+    some, text = F.col("kept").isNotNull(), F.coalesce("kept", "text")
     if "n_chars" in names:
         count = F.col(numbered["n_chars"])
         cut = cut.withColumn(numbered["n_chars"], F.when(some, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(count))
