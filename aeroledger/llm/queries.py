@@ -19,6 +19,7 @@ from aeroledger.llm import (
     oracle,
     simhash_trie,
     suffix_dedup,
+    token_alignment,
     token_counts,
     url_reputation,
     va_clusters,
@@ -103,6 +104,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, license_scan.learn(docs))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    how = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.score_links(token_alignment.align(_table(spark, sf_dir, "documents"), *how), *how)
+
+
 def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_clusters.cluster(_table(spark, sf_dir, "embeddings"))
 
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_dedup": op8_lattice_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_token_alignment": op11_token_alignment,
     "op12_va_clusters": op12_va_clusters,
     "op13_line_dedup": op13_line_dedup,
 }
