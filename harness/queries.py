@@ -400,6 +400,14 @@ def q1_profile_columns(spark, sf_dir):
     return profiling.profile_columns(raw(spark, sf_dir, "flights"))
 
 
+@query
+def q1_profile_sketch(spark, sf_dir):
+    flights = raw(spark, sf_dir, "flights")
+    early = F.coalesce(F.col("Day_Of_Week") < 4, F.lit(False))
+    parts = profiling.sketch_columns(flights.filter(early)).unionByName(profiling.sketch_columns(flights.filter(~early)))
+    return profiling.profile_sketches(profiling.merge_sketches(parts))
+
+
 @query
 def q2_profile_numeric(spark, sf_dir):
     return profiling.profile_numeric(raw(spark, sf_dir, "weather"))

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from aeroledger.operators import profiling
-from conftest import ordered
+from conftest import final_plan, ordered
 
 SCHEMA = "a int, b string, c double, d bigint, t timestamp, `odd.name` int, e int"
 DATA = [
@@ -48,6 +48,43 @@ def test_low_cardinality(df):
     assert got == sorted([("a", "1"), ("a", "2"), ("a", None), ("e", None)], key=repr)
 
 
+def test_low_cardinality_at_the_limit(spark):
+    rows = [(i, i % 7, i % 8, None if i % 7 == 6 else str(i % 7), "" if i % 2 else None, i % 6 / 2) for i in range(5_000)]
+    df = spark.createDataFrame(rows, "many int, seven int, eight int, with_null string, blank string, half double").repartition(7)
+    got = profiling.low_cardinality(df, k=8)
+    want = [("seven", str(i)) for i in range(7)] + [("with_null", None), *(("with_null", str(i)) for i in range(6))]
+    want += [("blank", ""), ("blank", None), *(("half", str(i / 2)) for i in range(6))]
+    assert ordered(got) == sorted(want, key=repr)
+    for k in (2, 3, 7, 300, 6_000):
+        counts = {r.column_name: r.distinct_count for r in profiling.profile_columns(df).collect()}
+        assert {r.column_name for r in profiling.low_cardinality(df, k=k).collect()} == {c for c, n in counts.items() if n < k}
+    assert profiling.low_cardinality(df.limit(0)).count() == 0
+
+
+def test_low_cardinality_reads_once_and_shuffles_no_values(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "cast(id % 3 AS string) AS few", "uuid() AS wide").write.parquet(f"{tmp_path}/t")
+    plan = final_plan(profiling.low_cardinality(spark.read.parquet(f"{tmp_path}/t")))
+    assert plan.count("FileScan") == 1 and "hashpartitioning" not in plan and plan.count("Exchange") == 1
+    assert {r.column_name for r in profiling.low_cardinality(spark.read.parquet(f"{tmp_path}/t")).collect()} == {"few"}
+
+
+def test_sketched_profile(spark, df):
+    rows = [(i, i % 900, None if i % 5 == 0 else f"v{i % 20_000}", "", None, i / 8) for i in range(60_000)]
+    big = spark.createDataFrame(rows, "a int, b bigint, c string, d string, e string, f double").repartition(6)
+    exact = {r.column_name: r for r in profiling.profile_columns(big).collect()}
+    whole = profiling.sketch_columns(big)
+    parts = profiling.sketch_columns(big.filter("a < 1000")).unionByName(profiling.sketch_columns(big.filter("a >= 1000")))
+    for sketches in (whole, profiling.merge_sketches(parts)):
+        got = {r.column_name: r for r in profiling.profile_sketches(sketches).collect()}
+        assert got.keys() == exact.keys()
+        for c, r in got.items():
+            assert (r.dtype, r.null_count) == (exact[c].dtype, exact[c].null_count)
+            assert abs(r.distinct_count - exact[c].distinct_count) <= 0.03 * exact[c].distinct_count
+    assert ordered(profiling.profile_sketches(profiling.sketch_columns(df))) == ordered(profiling.profile_columns(df))
+    plan = final_plan(profiling.profile_sketches(profiling.sketch_columns(df)))
+    assert "hashpartitioning" not in plan and plan.count("Exchange") == 1
+
+
 def test_null_counts_and_audit(df):
     assert tuple(profiling.null_counts(df, ["a", "e"]).first()) == (1, 4)
     assert ordered(profiling.audit({"all": df, "few": df.select("a").limit(2)})) == [("all", 4, 7), ("few", 2, 1)]
