@@ -11,9 +11,10 @@ For the counts of its links a document looks up the vectors. Irregular pairs tha
 of them at most, are looked up in the same way; the other pairs are joined with their counts, so a key of that join has no more than that share
 of all links.
 
-Texts are cut where a single blank stands between two characters that are no blanks. A's pattern begins a token there, and no piece of B spans
-it (both are checked when the vocabularies are loaded); so the parts are encoded one by one, each like a text of its own, and a worker remembers
-short parts. A very long text is worked through some hundred thousand characters at a time; a run without such a blank stays whole.
+Texts are cut where a single blank stands between two characters that are no blanks: A's pattern begins a token there, and no piece of B spans
+it (both are checked when the vocabularies are loaded). So the units in between are encoded like texts of their own, each once for as long as a
+worker remembers it, and texts of about a megabyte together are aligned at once, in arrays. A very long text is worked through in parts; a run of
+any length without such a blank stays whole.
 
 Edge cases: texts that are null or empty, or whose joined tokens of A or B differ from a blank and the text, have no tokens: zeros and an empty
 `groups_sha256`. Strings of special tokens inside texts are plain text. Repeated rows and null ids are rows of their own, and all count. Ties:
@@ -24,9 +25,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -40,12 +42,14 @@ from tokenizers import Tokenizer
 from aeroledger.llm.common import by_bytes, durable
 
 BATCH_BYTES = 1 << 20
-#: Characters of a text that are worked on at once.
+#: Characters from which a text is cut.
 PART_CHARS = 1 << 17
-#: Parts that a Python worker remembers, each of up to 32 characters; the memory is emptied when full.
-REMEMBERED = 50_000
 BLANK = "▁"
+#: Units that a Python worker remembers; the memory is emptied when full.
+REMEMBERED = 400_000
 SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: A blank that is not safe.
+UNSAFE = re.compile(r"\s | \s|^ | $")
 B_BITS = 32
 
 ALIGNED = "n_a long, n_b long, n_groups long, groups_sha256 string, same array<int>, same_n array<long>, pairs array<long>, pairs_n array<long>"
@@ -62,6 +66,7 @@ class Vocabularies:
     """Both tokenizers, the bytes of their ids, and the identity map; one per Python worker."""
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals the texts out
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -77,8 +82,12 @@ class Vocabularies:
         plain = lambda i: not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_unused(i))
         by_bytes = {t: i for i, t in enumerate(self.b_bytes) if self.b.is_byte(i)} | {t: i for i, t in enumerate(self.b_bytes) if plain(i)}
         self.same = np.array([by_bytes.get(t, -1) for t in self.a_bytes])
+        self.a_size, self.b_size = (np.array([len(t) for t in tokens]) for tokens in (self.a_bytes, self.b_bytes))
+        # of a token inside a group and at its end
+        self.written = [f"{i}{c}" for i in range(len(self.a_bytes)) for c in ",|"] + [f"{i}{c}" for i in range(len(self.b_bytes)) for c in ",;"]
+        self.lossless = {bytes([i]) for i in range(256)} <= set(self.a_bytes)  # A can write every byte
         self.splits = self._can_split(a_path)
-        self.known: dict[str, tuple] = {}
+        self._forget()
 
     def _can_split(self, a_path: str) -> bool:
         with open(a_path, encoding="utf-8") as file:
@@ -90,69 +99,126 @@ class Vocabularies:
         probe = [self.b.decode_pieces(self.b.encode(t, out_type=str)) == t for t in ("a  b", " a ", "ﬁ Ａ é")]
         return bool(pattern and spec.get("normalizer") is None and not spans and all(probe))
 
-    def parts(self, text: str) -> Iterator[list[str]]:
-        """The parts of a text, some at a time."""
-        if not self.splits or BLANK in text:
-            yield [text]
-            return
+    def parts(self, text: str) -> Iterator[str]:
+        """Parts of about PART_CHARS characters that are encoded like texts of their own."""
         at = 0
-        while len(text) - at > PART_CHARS and (cut := SAFE.search(text, at + PART_CHARS)):
-            yield SAFE.split(text[at : cut.start()])
+        while self.splits and len(text) - at > PART_CHARS and (cut := SAFE.search(text, at + PART_CHARS)):
+            yield text[at : cut.start()]
             at = cut.end()
-        yield SAFE.split(text[at:] if at else text)
+        yield text[at:] if at else text
+
+    def units(self, text: str) -> list[str]:
+        """The smallest parts: from one safe blank to the next."""
+        if not self.splits or BLANK in text:
+            return [text]
+        return SAFE.split(text) if UNSAFE.search(text) else text.split(" ")
 
-    def aligned(self, parts: list[str]) -> list[tuple | None]:
-        """For each part: ids of A and B, groups as text, A ids of equal tokens, and other links as one number each; None if bytes differ."""
+    def remember(self, units: list[str]) -> np.ndarray:
+        """Numbers of the units; those not seen before are encoded."""
+        if len(self.known) > REMEMBERED or len(self.ids[0]) > 8 * REMEMBERED:
+            self._forget()
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = [p for p in dict.fromkeys(parts) if p not in known]
-        of_a = self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
-        of_b = self.b.encode(new, num_threads=1)
-        found = {p: self._groups((" " + p).encode(), a.ids, b) for p, a, b in zip(new, of_a, of_b, strict=True)}
-        known.update((p, x) for p, x in found.items() if len(p) <= 32)
-        return [found[p] if p in found else known[p] for p in parts]
-
-    def _groups(self, data: bytes, a: list[int], b: list[int]) -> tuple | None:
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        if b"".join(map(a_bytes.__getitem__, a)) != data or b"".join(map(b_bytes.__getitem__, b)) != data:
-            return None
-        groups, equal, other = [], [], []
-        i = j = i0 = j0 = end_a = end_b = 0
-        while i < len(a):
-            if end_a <= end_b:
-                end_a += len(a_bytes[a[i]])
-                i += 1
-            while end_b < end_a:
-                end_b += len(b_bytes[b[j]])
-                j += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-                if self.same[a[i - 1]] == b[j - 1]:
-                    equal.append(a[i - 1])
-                else:
-                    other.append(a[i - 1] << B_BITS | b[j - 1])
-                i0, j0 = i, j
-        return len(a), len(b), len(groups), ";".join(groups), equal, other
-
-    def document(self, text: str) -> tuple:
-        """The columns of ALIGNED for one text."""
-        nothing = (0, 0, 0, "", [], [], [], [])
-        n_a = n_b = n_groups = 0
-        digest, equal, other = hashlib.sha256(), Counter(), Counter()
-        for parts in self.parts(text) if text else ():
-            found = self.aligned(parts)
-            if None in found:
-                return nothing
-            digest.update(((";" if n_groups else "") + ";".join([x[3] for x in found])).encode())
-            n_a += sum(x[0] for x in found)
-            n_b += sum(x[1] for x in found)
-            n_groups += sum(x[2] for x in found)
-            equal.update(chain.from_iterable(x[4] for x in found))
-            other.update(chain.from_iterable(x[5] for x in found))
-        if not n_groups:
-            return nothing
-        return n_a, n_b, n_groups, digest.hexdigest(), list(equal), list(equal.values()), list(other), list(other.values())
+        new = [u for u in dict.fromkeys(units) if u not in known]
+        if new:
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            of_a = [x.ids for x in self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)]
+            of_b = self.b.encode(new, num_threads=1)
+            a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+            data = [(" " + u).encode() for u in new]
+            fits = [b"".join(map(b_bytes, b)) == d for d, b in zip(data, of_b, strict=True)]
+            if not self.lossless:
+                fits = [ok and b"".join(map(a_bytes, a)) == d for ok, d, a in zip(fits, data, of_a, strict=True)]
+            self.fits = np.concatenate([self.fits, fits])
+            for side, ids in enumerate((of_a, of_b)):
+                self.counts[side] = np.concatenate([self.counts[side], np.fromiter(map(len, ids), np.int64, len(ids))])
+                self.ids[side] = np.concatenate([self.ids[side], np.fromiter(chain.from_iterable(ids), np.int32)])
+        return np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.fits = np.zeros(0, dtype=bool)  # whether both sides have the bytes of the unit
+        self.counts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # of the ids of a unit, by side
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+
+    def align(self, parts: list[str]) -> list[Aligned | None]:
+        """For each part what its tokens give; None if their bytes differ from a blank and the part."""
+        units = [self.units(p) for p in parts]
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        found = self.remember(list(chain.from_iterable(units)))
+        part = np.repeat(np.arange(len(parts)), sizes)
+        fits = np.bincount(part[~self.fits[found]], minlength=len(parts)) == 0
+        found, part = found[fits[part]], part[fits[part]]
+        if not len(found):
+            return [None] * len(parts)
+        sides = []
+        for ids, counts in zip(self.ids, self.counts, strict=True):
+            n = counts[found]
+            first = (np.cumsum(counts) - counts)[found] - (np.cumsum(n) - n)
+            sides += ids[np.repeat(first, n) + np.arange(n.sum())].astype(np.int64), np.bincount(part, n, len(parts)).astype(np.int64)[fits]
+        aligned = iter(self._align(*sides))
+        return [next(aligned) if ok else None for ok in fits]
+
+    def _align(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> Iterator[Aligned]:
+        """Ids of both sides, and how many each part has. Both sides of a part have the same bytes, so offsets count on from part to part."""
+        ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        cut_a, cut_b = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a, ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
+        last_a, last_b = np.flatnonzero(cut_a), np.flatnonzero(cut_b)  # of each group
+        equal = self.same[a[last_a]] == b[last_b]
+        # the tokens of both, group by group, as places in the table of their texts
+        place_a = np.arange(len(a)) + np.concatenate([[0], last_b + 1])[np.cumsum(cut_a) - cut_a]
+        place_b = np.arange(len(b)) + (last_a + 1)[np.cumsum(cut_b) - cut_b]
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[place_a] = 2 * a + cut_a
+        order[place_b] = 2 * (len(self.a_bytes) + b) + cut_b
+        links = np.where(equal, a[last_a], a[last_a] << B_BITS | b[last_b])
+        groups = np.searchsorted(last_a, np.concatenate([[0], np.cumsum(n_a)]))
+        tokens = np.concatenate([[0], np.cumsum(n_a + n_b)])
+        for k in range(len(n_a)):
+            g = slice(groups[k], groups[k + 1])
+            text = "".join(map(self.written.__getitem__, order[tokens[k] : tokens[k + 1]].tolist()))
+            yield Aligned(int(n_a[k]), int(n_b[k]), text, links[g][equal[g]], links[g][~equal[g]])
+
+
+@dataclass(frozen=True)
+class Aligned:
+    n_a: int
+    n_b: int
+    groups: str  # each with a semicolon behind
+    equal: np.ndarray  # A ids of links to the same bytes
+    other: np.ndarray  # other links, an A id and a B id in one number
+
+
+class Document:
+    """What the parts of one text add up to."""
+
+    def __init__(self):
+        self.n_a = self.n_b = 0
+        self.digest, self.open = hashlib.sha256(), ""
+        self.equal: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.other: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.fits = True
+
+    def add(self, part: Aligned | None) -> None:
+        if part is None:
+            self.fits = False
+            return
+        self.n_a += part.n_a
+        self.n_b += part.n_b
+        self.digest.update((self.open + part.groups[:-1]).encode())
+        self.open = ";"
+        self.equal.append(part.equal)
+        self.other.append(part.other)
+
+    def columns(self) -> tuple:
+        """The columns of ALIGNED."""
+        if not (self.fits and self.open):
+            return 0, 0, 0, "", [], [], [], []
+        lists, n = [], 0
+        for found in (self.equal, self.other):
+            found = np.concatenate(found)
+            n += len(found)
+            lists += np.unique(found, return_counts=True)
+        return self.n_a, self.n_b, n, self.digest.hexdigest(), *lists
 
 
 @lru_cache(maxsize=2)
@@ -173,14 +239,30 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = vocabularies(a_path, b_path)
-        for part in by_bytes(batches, "text", BATCH_BYTES):
-            found = zip(*map(tool.document, part.column("text").to_pylist()), strict=True)
-            columns = [pa.array(c, t) for c, t in zip(found, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), *columns], ["row", "id", *names])
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
+            found = [Document() for _ in range(batch.num_rows)]
+            pending: list[tuple[Document, str]] = []
+            size = 0
+            for document, text in zip(found, batch.column("text").to_pylist(), strict=True):
+                for part in tool.parts(text) if text else ():
+                    pending.append((document, part))
+                    size += len(part)
+                    if size >= BATCH_BYTES:
+                        _add(tool, pending)
+                        size = 0
+            _add(tool, pending)
+            columns = [pa.array(c, t) for c, t in zip(zip(*(d.columns() for d in found), strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), *columns], ["row", "id", *names])
 
     return rows.mapInArrow(run, f"row long, id {id_type}, {ALIGNED}").withColumnRenamed("id", id_column)
 
 
+def _add(tool: Vocabularies, pending: list[tuple[Document, str]]) -> None:
+    for (document, _), part in zip(pending, tool.align([p for _, p in pending]) if pending else (), strict=True):
+        document.add(part)
+    pending.clear()
+
+
 def count_equal(aligned: DataFrame, size: int) -> np.ndarray:
     """Links of equal tokens by A id: a vector per task, summed. At most `size` rows reach the driver."""
 
