@@ -17,7 +17,7 @@ DUCK_TYPES = {
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == SKETCHED
     assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
@@ -28,7 +28,7 @@ SKETCHED = {"q1_profile_sketch"}
 def test_sketched_profile_of_flights(spark, sf_dir):
     exact = {r.column_name: r for r in QUERIES["q1_profile_columns"](spark, sf_dir).collect()}
     got = QUERIES["q1_profile_sketch"](spark, sf_dir).collect()
-    assert len(got) == len(exact) and set(QUERIES) - set(ORACLE) == SKETCHED
+    assert len(got) == len(exact)
     for r in got:
         assert (r.dtype, r.null_count) == (exact[r.column_name].dtype, exact[r.column_name].null_count)
         assert abs(r.distinct_count - exact[r.column_name].distinct_count) <= 0.03 * exact[r.column_name].distinct_count
