@@ -79,41 +79,76 @@ def _sky_measures(facts: str) -> list[Measure]:
     ]
 
 
-def _with_sky(weather: DataFrame, airports: DataFrame) -> Callable[[DataFrame], DataFrame]:
+PERFORMANCE = [
+    counted("total_flights"),
+    averaged("avg_dep_delay_min", "dep_delay", 1),
+    averaged("avg_arr_delay_min", "arr_delay", 1),
+    largest("max_dep_delay_min", "dep_delay"),
+    averaged("avg_flight_duration_min", "flight_duration", 1),
+    averaged("avg_total_delay_min", "total_delay_minutes", 1),
+    _share("on_time_pct", ON_TIME, 1),
+    _share("delayed_pct", DELAYED, 1),
+    _share("carrier_delay_pct", _cause("Carrier"), 1),
+    _share("weather_delay_pct", _cause("Weather"), 1),
+    _share("nas_delay_pct", _cause("NAS"), 1),
+    _share("aircraft_delay_pct", _cause("LastAircraft"), 1),
+]
+DELAY_IMPACT = [
+    counted("total_flights"),
+    *_match_measures("flights_with_weather", "total_flights"),
+    averaged("avg_dep_delay_min", "dep_delay", 1),
+    averaged("avg_arr_delay_min", "arr_delay", 1),
+    _share("delayed_flight_pct", DELAYED, 1),
+    averaged("avg_total_delay_min", "total_delay_minutes", 1),
+    *_sky_measures("total_flights"),
+]
+CANCELLATIONS = [
+    counted("total_events"),
+    added("cancelled_count", CANCELLED),
+    added("diverted_count", DIVERTED),
+    _share("cancellation_rate_pct", CANCELLED, 2),
+    _share("diversion_rate_pct", DIVERTED, 2),
+    averaged("diverted_avg_dep_delay_min", DIVERTED_DELAY, 1),
+    largest("diverted_max_dep_delay_min", DIVERTED_DELAY),
+]
+WEATHER_CANCELLATIONS = [
+    counted("total_events"),
+    *_match_measures("events_with_weather", "total_events"),
+    added("cancelled_count", CANCELLED),
+    added("diverted_count", DIVERTED),
+    _share("cancellation_rate_pct", CANCELLED, 2),
+    _share("diversion_rate_pct", DIVERTED, 2),
+    *_sky_measures("total_events"),
+]
+OPERATIONS = [
+    counted("total_scheduled"),
+    added("completed_count", _status("Completed")),
+    added("cancelled_count", _status("Cancelled")),
+    added("diverted_count", _status("Diverted")),
+    _share("completion_rate_pct", _status("Completed"), 2),
+    _share("cancellation_rate_pct", _status("Cancelled"), 2),
+    _share("diversion_rate_pct", _status("Diverted"), 2),
+    averaged("avg_dep_delay_min", "dep_delay", 1),
+    averaged("avg_arr_delay_min", "arr_delay", 1),
+    averaged("avg_flight_duration_min", "flight_duration", 1),
+    _share("on_time_pct", ON_TIME, 1),
+    _share("delayed_pct", DELAYED, 1),
+]
+
+
+def with_sky(weather: DataFrame, airports: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Joins of the weather and region of a departure."""
     return lambda df: with_airport(with_weather(df, weather), airports, columns=["us_region"])
 
 
 def flight_performance(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """Completed flights per airline, route, month and distance; 22 columns."""
-    measures = [
-        counted("total_flights"),
-        averaged("avg_dep_delay_min", "dep_delay", 1),
-        averaged("avg_arr_delay_min", "arr_delay", 1),
-        largest("max_dep_delay_min", "dep_delay"),
-        averaged("avg_flight_duration_min", "flight_duration", 1),
-        averaged("avg_total_delay_min", "total_delay_minutes", 1),
-        _share("on_time_pct", ON_TIME, 1),
-        _share("delayed_pct", DELAYED, 1),
-        _share("carrier_delay_pct", _cause("Carrier"), 1),
-        _share("weather_delay_pct", _cause("Weather"), 1),
-        _share("nas_delay_pct", _cause("NAS"), 1),
-        _share("aircraft_delay_pct", _cause("LastAircraft"), 1),
-    ]
-    return summarize(flights, ROUTE_FACT_KEYS, lambda df: with_airport(df, airports), ROUTE_KEYS, measures)
+    return summarize(flights, ROUTE_FACT_KEYS, lambda df: with_airport(df, airports), ROUTE_KEYS, PERFORMANCE)
 
 
 def weather_delay_impact(flights: DataFrame, weather: DataFrame, airports: DataFrame) -> DataFrame:
     """Completed flights per kind of weather and region; 17 columns."""
-    measures = [
-        counted("total_flights"),
-        *_match_measures("flights_with_weather", "total_flights"),
-        averaged("avg_dep_delay_min", "dep_delay", 1),
-        averaged("avg_arr_delay_min", "arr_delay", 1),
-        _share("delayed_flight_pct", DELAYED, 1),
-        averaged("avg_total_delay_min", "total_delay_minutes", 1),
-        *_sky_measures("total_flights"),
-    ]
-    return summarize(flights, DAY_KEYS, _with_sky(weather, airports), SKY_KEYS, measures)
+    return summarize(flights, DAY_KEYS, with_sky(weather, airports), SKY_KEYS, DELAY_IMPACT)
 
 
 def cancellation_analysis(cancelled: DataFrame, airports: DataFrame) -> DataFrame:
@@ -122,41 +157,23 @@ def cancellation_analysis(cancelled: DataFrame, airports: DataFrame) -> DataFram
     The rates are shares of failed flights only; ``ops_summary`` has the shares
     of all scheduled flights.
     """
-    measures = [
-        counted("total_events"),
-        added("cancelled_count", CANCELLED),
-        added("diverted_count", DIVERTED),
-        _share("cancellation_rate_pct", CANCELLED, 2),
-        _share("diversion_rate_pct", DIVERTED, 2),
-        averaged("diverted_avg_dep_delay_min", DIVERTED_DELAY, 1),
-        largest("diverted_max_dep_delay_min", DIVERTED_DELAY),
-    ]
     return summarize(
         cancelled,
         [*ROUTE_FACT_KEYS, "weekday_name"],
         lambda df: with_airport(df, airports),
         [*ROUTE_KEYS, "weekday_name"],
-        measures,
+        CANCELLATIONS,
     )
 
 
 def weather_cancellation(cancelled: DataFrame, weather: DataFrame, airports: DataFrame) -> DataFrame:
     """Failed flights per kind of weather, region and month; 18 columns."""
-    measures = [
-        counted("total_events"),
-        *_match_measures("events_with_weather", "total_events"),
-        added("cancelled_count", CANCELLED),
-        added("diverted_count", DIVERTED),
-        _share("cancellation_rate_pct", CANCELLED, 2),
-        _share("diversion_rate_pct", DIVERTED, 2),
-        *_sky_measures("total_events"),
-    ]
     return summarize(
         cancelled,
         [*DAY_KEYS, "flight_month"],
-        _with_sky(weather, airports),
+        with_sky(weather, airports),
         [*SKY_KEYS, "flight_month"],
-        measures,
+        WEATHER_CANCELLATIONS,
     )
 
 
@@ -167,26 +184,12 @@ def ops_summary(
     months: Sequence[int] = OPERATION_MONTHS,
 ) -> DataFrame:
     """All scheduled flights of a span of months per airline, route and weekday; 23 columns."""
-    measures = [
-        counted("total_scheduled"),
-        added("completed_count", _status("Completed")),
-        added("cancelled_count", _status("Cancelled")),
-        added("diverted_count", _status("Diverted")),
-        _share("completion_rate_pct", _status("Completed"), 2),
-        _share("cancellation_rate_pct", _status("Cancelled"), 2),
-        _share("diversion_rate_pct", _status("Diverted"), 2),
-        averaged("avg_dep_delay_min", "dep_delay", 1),
-        averaged("avg_arr_delay_min", "arr_delay", 1),
-        averaged("avg_flight_duration_min", "flight_duration", 1),
-        _share("on_time_pct", ON_TIME, 1),
-        _share("delayed_pct", DELAYED, 1),
-    ]
     return summarize(
         union_operations(flights, cancelled, months),
         [*ROUTE_FACT_KEYS, "weekday_name"],
         lambda df: with_airport(df, airports),
         [*ROUTE_KEYS, "weekday_name"],
-        measures,
+        OPERATIONS,
     )
 
 
@@ -195,4 +198,4 @@ def weather_coverage(
 ) -> DataFrame:
     """Facts that met a weather record, in all or per ``by`` column."""
     daily = reduce_facts(facts, [*DAY_KEYS, *by], [counted("facts")])
-    return join_coverage(_with_sky(weather, airports)(daily), "wind_category", by, facts="facts")
+    return join_coverage(with_sky(weather, airports)(daily), "wind_category", by, facts="facts")

@@ -7,9 +7,12 @@ and months it needs.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from aeroledger.functions.fixed_values import (
     GOLD_PARTITIONS,
@@ -18,9 +21,10 @@ from aeroledger.functions.fixed_values import (
     SILVER_SCHEMAS,
 )
 from aeroledger.operators.profiling import audit
-from aeroledger.plans import gold
-from aeroledger.plans.silver import SILVER
-from aeroledger.sources.files import ingest, read_table, table_path, write_table
+from aeroledger.operators.rows import drop_copies
+from aeroledger.plans import gold, states
+from aeroledger.plans.silver import CLEANING, SILVER
+from aeroledger.sources.files import ingest, read_table, replace_table, table_path
 from aeroledger.sources.jdbc import write_jdbc
 
 # Gold table -> (builder, silver tables it reads, in the builder's order).
@@ -43,17 +47,54 @@ def build_bronze(spark: SparkSession, name: str, raw: str, base: str) -> None:
     ingest(spark, name, raw, f"{base}/bronze")
 
 
-def build_silver(spark: SparkSession, name: str, base: str) -> None:
-    """Write one silver table from its bronze table."""
+@dataclass(frozen=True)
+class Cleaned:
+    """What a silver job has read and written."""
+
+    bronze_rows: int
+    rows_after_dedup: int
+    duplicates_removed: int
+    silver_rows: int
+    silver_columns: int
+
+
+def build_silver(spark: SparkSession, name: str, base: str) -> Cleaned:
+    """Write one silver table from its bronze table; rows are counted on their way, so nothing is read again for it."""
+    counts = {step: Observation() for step in ("bronze", "distinct", "silver")}
+
+    def counted(df: DataFrame, step: str) -> DataFrame:
+        return df.observe(counts[step], F.count("*").alias("rows"))
+
     bronze = read_table(spark, table_path(f"{base}/bronze", name))
-    write_table(SILVER[name](bronze), table_path(f"{base}/silver", name), SILVER_PARTITIONS[name])
+    distinct = counted(drop_copies(counted(bronze, "bronze")), "distinct")
+    table = CLEANING[name](distinct)
+    replace_table(counted(table, "silver"), table_path(f"{base}/silver", name), SILVER_PARTITIONS[name])
+    read, kept, written = (observed.get["rows"] for observed in counts.values())
+    return Cleaned(read, kept, read - kept, written, len(table.columns))
 
 
 def build_gold(spark: SparkSession, name: str, base: str) -> None:
     """Write one gold table from its silver tables."""
     build, sources = GOLD[name]
     table = build(*[read_silver(spark, base, s) for s in sources])
-    write_table(table, table_path(f"{base}/gold", name), GOLD_PARTITIONS[name])
+    replace_table(table, table_path(f"{base}/gold", name), GOLD_PARTITIONS[name])
+
+
+def update_gold(spark: SparkSession, base: str, months: Sequence[tuple[int, int]] | None = None) -> None:
+    """Write all gold tables from stored partial results, after those of the given (year, month) pairs, or of all, are made anew.
+
+    Each silver table of facts is scanned once, and only its partitions of these
+    months. A run that is repeated replaces the same partitions.
+    """
+    for facts, make in (("flights", states.flight_states), ("cancelled", states.failure_states)):
+        silver = read_silver(spark, base, facts)
+        if months is not None:
+            silver = silver.filter(reduce(lambda a, b: a | b, [(F.col("flight_year") == y) & (F.col("flight_month") == m) for y, m in months]))
+        states.store(make(silver), f"{base}/state/{facts}")
+    made = [states.stored(spark, f"{base}/state/{facts}") for facts in ("flights", "cancelled")]
+    dimensions = [read_silver(spark, base, name) for name in ("weather", "airports")]
+    for name in GOLD:
+        replace_table(states.gold_table(name, *made, *dimensions), table_path(f"{base}/gold", name), GOLD_PARTITIONS[name])
 
 
 def export_flights(

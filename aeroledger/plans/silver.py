@@ -132,6 +132,12 @@ def silver_airports(raw: DataFrame) -> DataFrame:
     return clean_airports(drop_copies(raw))
 
 
+CLEANING = {
+    "flights": clean_flights,
+    "cancelled": clean_cancelled,
+    "weather": clean_weather,
+    "airports": clean_airports,
+}
 SILVER = {
     "flights": silver_flights,
     "cancelled": silver_cancelled,

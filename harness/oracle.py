@@ -378,6 +378,16 @@ Q["q2_profile_numeric_int"] = "\nUNION ALL ".join(
     for source, columns in (("raw_flights", _INT_FLIGHTS), ("orders", ["o_orderkey", "o_custkey"]))
     for c in columns
 )
+_CSV_COLUMNS = (
+    "FlightDate Day_Of_Week Airline Tail_Number Manufacturer Model Aicraft_age Dep_Airport Dep_CityName Arr_Airport Arr_CityName "
+    "DepTime_label Flight_Duration Distance_type Dep_Delay Dep_Delay_Tag Dep_Delay_Type Arr_Delay Arr_Delay_Type"
+).split() + CAUSE_COLUMNS
+_LINE = "concat_ws(',', " + ", ".join(
+    f"coalesce({'$$~$$ || ' if c == 'Flight_Duration' else ''}CAST({c} AS VARCHAR), '')" for c in _CSV_COLUMNS
+) + ")"
+Q["s6_ingest_quarantine"] = f"""SELECT NULL::VARCHAR AS line, count(*) AS n, (SELECT count(*) FROM raw_flights) AS n_lines
+FROM raw_flights WHERE Flight_Duration % 25 <> 5
+UNION ALL SELECT {_LINE}, 1, (SELECT count(*) FROM raw_flights) FROM raw_flights WHERE Flight_Duration % 25 = 5"""
 Q["q3_low_cardinality"] = "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, value FROM (SELECT value, count(*) OVER () AS n FROM"
     f" (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM raw_flights)) WHERE n < 8"
@@ -442,6 +452,8 @@ _GOLD_COLUMNS = {
 }
 for _n in _GOLD_COLUMNS:
     Q[f"gold_{_n}"] = f"SELECT * FROM gold_{_n}"
+for _n in _GOLD_COLUMNS:
+    Q[f"merged_{_n}"] = f"SELECT * FROM gold_{_n}"
 Q["medallion_gold"] = "SELECT * FROM gold_weather_delay_impact"
 Q["gold_ops_summary_aligned"] = "SELECT * FROM gold_ops_summary_aligned"
 Q["medallion_tables"] = _counts(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from aeroledger.functions import dates, delays, labels, measures
 from aeroledger.functions import fixed_values as fixed
 from aeroledger.operators import joins, profiling, rows, shaping
 from aeroledger.operators.summarize import aggregate, averaged, largest
-from aeroledger.plans import gold, medallion, reports, silver
+from aeroledger.plans import gold, medallion, reports, silver, states
 from aeroledger.sources import files
 from harness.fixtures import raw, scratch_dir, write_raw_csv
 
@@ -68,13 +69,13 @@ def s1_csv_scan(spark, sf_dir):
 @query
 def s2_parquet_roundtrip(spark, sf_dir):
     path = f"{scratch_dir(spark)}/weather"
-    files.write_table(raw(spark, sf_dir, "weather"), path)
+    files.replace_table(raw(spark, sf_dir, "weather"), path)
     return files.read_table(spark, path)
 
 
 def _partitioned_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/flights"
-    files.write_table(Tables(spark, sf_dir).silver("flights"), path, fixed.SILVER_PARTITIONS["flights"])
+    files.replace_table(Tables(spark, sf_dir).silver("flights"), path, fixed.SILVER_PARTITIONS["flights"])
     return files.read_table(spark, path, fixed.SILVER_SCHEMAS["flights"])
 
 
@@ -102,6 +103,18 @@ for _name in fixed.RAW_FILES:
     QUERIES[f"s6_ingest_{_name}"] = _ingest_query(_name)
 
 
+@query
+def s6_ingest_quarantine(spark, sf_dir):
+    """Rejected lines one by one, and the number of the rows loaded."""
+    folder = scratch_dir(spark)
+    duration = F.when(F.col("Flight_Duration") % 25 == 5, F.concat(F.lit("~"), "Flight_Duration")).otherwise(F.col("Flight_Duration").cast("string"))
+    write_raw_csv(raw(spark, sf_dir, "flights").withColumn("Flight_Duration", duration), f"{folder}/{fixed.RAW_FILES['flights']}")
+    counted = files.ingest_with_quarantine(spark, "flights", folder, f"{folder}/bronze")
+    loaded = files.read_bronze(spark, "flights", f"{folder}/bronze").agg(F.lit(None).cast("string").alias("line"), F.count("*").alias("n"))
+    rejected = files.rejected_lines(spark, "flights", f"{folder}/bronze").select("line", F.lit(1).cast("bigint").alias("n"))
+    return loaded.unionByName(rejected).withColumn("n_lines", F.lit(counted.lines).cast("bigint"))
+
+
 @query
 def s7_airport_sample(spark, sf_dir):
     return _stamped(rows.sample_rows(Tables(spark, sf_dir).silver("airports"), "iata_code"))
@@ -474,19 +487,33 @@ def duplicate_airports(spark, sf_dir):
     return rows.duplicate_keys(raw(spark, sf_dir, "airports"), ["IATA_CODE"])
 
 
+def _states(spark: SparkSession, sf_dir: str, by_month: bool = False) -> list[DataFrame]:
+    """Stored partial results of flights and failed flights, written at once or month by month."""
+    t, folder, stored = Tables(spark, sf_dir), scratch_dir(spark), []
+    for name, make in (("flights", states.flight_states), ("cancelled", states.failure_states)):
+        facts, path = t.silver(name), f"{folder}/{name}"
+        early = F.coalesce(F.col("flight_month") == 1, F.lit(False))
+        for part in (facts.filter(early), facts.filter(~early)) if by_month else (facts,):
+            states.store(make(part), path)
+        stored.append(states.stored(spark, path))
+    return stored
+
+
 @query
 def q8_union_scope(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    cancelled = t.silver("cancelled")
-    return profiling.audit(
-        {
-            "flights": t.silver("flights"),
-            "cancelled_all": cancelled,
-            "cancelled_window": rows.in_months(cancelled, fixed.OPERATION_MONTHS),
-            "union": _operations(spark, sf_dir),
-            "gold_ops_summary": t.gold("ops_summary"),
-        }
-    )
+    flights, failures = _states(spark, sf_dir)
+    summary = states.gold_table("ops_summary", flights, failures, t.silver("weather"), t.silver("airports"))
+    counts = states.scope(flights, failures) | {"gold_ops_summary": summary.agg(F.count("*").alias("row_count"))}
+    columns = {
+        "flights": len(t.silver("flights").columns),
+        "cancelled_all": len(t.silver("cancelled").columns),
+        "cancelled_window": len(t.silver("cancelled").columns),
+        "union": len(_operations(spark, sf_dir).columns),
+        "gold_ops_summary": len(summary.columns),
+    }
+    rows_of = [df.select(F.lit(n).alias("table_name"), "row_count", F.lit(columns[n]).alias("column_count")) for n, df in counts.items()]
+    return reduce(DataFrame.unionAll, rows_of)
 
 
 # --- silver and gold tables ---------------------------------------------------------------------
@@ -506,6 +533,18 @@ for _name in medallion.GOLD:
     QUERIES[f"gold_{_name}"] = _gold_query(_name)
 
 
+def _merged_gold_query(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = Tables(spark, sf_dir)
+        return states.gold_table(name, *_states(spark, sf_dir, by_month=True), t.silver("weather"), t.silver("airports"))
+
+    return run
+
+
+for _name in medallion.GOLD:
+    QUERIES[f"merged_{_name}"] = _merged_gold_query(_name)
+
+
 @query
 def gold_ops_summary_aligned(spark, sf_dir):
     t = Tables(spark, sf_dir)

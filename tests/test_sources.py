@@ -122,10 +122,65 @@ def test_one_job_at_a_time(spark, sf_dir, tmp_path):
         assert stored.columns == direct.columns
         assert ordered(stored) == ordered(direct)
     medallion.build_gold(spark, "flight_performance", base)
-    table = spark.read.parquet(f"{base}/gold/flight_performance")
+    table = files.read_table(spark, f"{base}/gold/flight_performance")
     assert table.agg(F.sum("total_flights")).first()[0] == medallion.read_silver(spark, base, "flights").count()
 
 
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.replace_table(spark.range(10).withColumn("m", F.col("id") % 2), path, ["m"])
+    bad = spark.range(100_000, numPartitions=8).withColumn("m", F.when(F.col("id") == 99_999, F.raise_error(F.lit("late"))).otherwise(F.col("id") % 2))
+    with pytest.raises(Exception, match="late"):
+        files.replace_table(bad, path, ["m"])
+    assert files.read_table(spark, path).count() == 10
+    reader = files.read_table(spark, path)
+    files.replace_table(files.read_table(spark, path).filter("id < 3"), path)  # from the table itself
+    assert ordered(files.read_table(spark, path).select("id")) == [(0,), (1,), (2,)]
+    assert reader.count() == 10  # found its files before
+    files.replace_table(spark.range(1), path)
+    assert len(glob.glob(f"{path}/_versions/*")) == 2 and files.read_table(spark, path).count() == 1
+
+
+def test_plain_table_becomes_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.write_table(spark.range(5), path)
+    assert files.read_table(spark, path).count() == 5
+    files.replace_table(spark.range(7), path)
+    assert files.read_table(spark, path).count() == 7 and not glob.glob(f"{path}/*.parquet")
+
+
+def test_quarantine_keeps_every_line(spark, tmp_path):
+    head = "pres,time,airport_id,tavg,tmin,tmax,prcp,snow,wdir,wspd,more\n"
+    good, bad = "1,2023-01-01,n1,1,2,3,,,,4,z\n", ["1,2023-01-01,n1,x,2,3,,,,4,z", "1,soon,n1,1,2,3,,,,4,z", "1,2023-01-01"]
+    raw, bronze = tmp_path / "raw" / fixed.RAW_FILES["weather"], str(tmp_path / "bronze")
+    raw.mkdir(parents=True)
+    for k in range(3):
+        (raw / f"{k}.csv").write_text(head + good * 4 + bad[k] + "\n")
+    counted = files.ingest_with_quarantine(spark, "weather", str(tmp_path / "raw"), bronze)
+    assert (counted.lines, counted.loaded, counted.rejected) == (15, 12, 3)
+    table = files.read_bronze(spark, "weather", bronze)
+    assert table.count() == 12 and table.dtypes == spark.createDataFrame([], fixed.RAW_SCHEMAS["weather"]).dtypes
+    assert files.read_table(spark, files.table_path(bronze, "weather")).count() == 12
+    assert sorted(r.line for r in files.rejected_lines(spark, "weather", bronze).collect()) == sorted(bad)
+    for text, want in ((head + good, (1, 1, 0)), (head + bad[0] + "\n", (1, 0, 1)), (head, (0, 0, 0))):
+        for k in range(3):
+            (raw / f"{k}.csv").write_text(text if k == 0 else head)
+        counted = files.ingest_with_quarantine(spark, "weather", str(tmp_path / "raw"), bronze)
+        assert (counted.lines, counted.loaded, counted.rejected) == want
+        assert files.read_bronze(spark, "weather", bronze).count() == want[1]
+        assert files.rejected_lines(spark, "weather", bronze).count() == want[2]
+
+
+@pytest.mark.parametrize("name", list(fixed.RAW_FILES))
+def test_silver_build_counts_its_rows(spark, sf_dir, tmp_path, name):
+    from harness.queries import QUERIES
+
+    fixtures.raw(spark, sf_dir, name).write.parquet(files.table_path(f"{tmp_path}/bronze", name))
+    counted = medallion.build_silver(spark, name, str(tmp_path))
+    assert vars(counted) == QUERIES[f"q7_audit_{name}"](spark, sf_dir).first().asDict()
+    assert counted.silver_rows == medallion.read_silver(spark, str(tmp_path), name).count()
+
+
 class RecordingWriter:
     def __init__(self):
         self.options, self.call = {}, None
