@@ -3,12 +3,13 @@
 A paragraph is a run of lines that are not blank, in overlapping windows if it is long, besides each of its lines by itself; comment marks do
 not count, so hard-wrapped notices in files and source headers are whole. It is a sparse vector of the word n-grams that templates hold, scaled by the number of
 all its n-grams. Multinomial logistic regression tells the licence families and the class of all other text. It is trained on variations of
-the templates and on a bounded sample of paragraphs of the corpus; its probabilities are calibrated by a temperature fitted on rows that
-training did not see. A paragraph whose family is not probable enough is unknown. A paragraph of a probable family is confirmed if it holds most of
-the n-grams of a template, and belongs to the family whose template it holds most fully.
+the templates, single and joined, and on a bounded sample of paragraphs of the corpus, to the minimum of a strictly convex loss, which doesn't
+depend on where the search for it stops; its probabilities are calibrated by a temperature fitted on rows that training did not see. A paragraph
+no family of which is probable enough is unknown. The classifier alone names the family; a paragraph is confirmed if it holds most of the n-grams
+of a template of that family.
 
 Edge cases: a null or empty text has no paragraph and no licence. Repeated rows and null ids each give a row. Of several confirmed paragraphs
-the most probable names the licence, ties go to the first. Without any corpus paragraph the other class is trained on blank vectors only. Only
+the most probable names the licence, ties go to the first. A very long text is worked through window by window in one task. Without any corpus paragraph the other class is trained on blank vectors only. Only
 the named columns are read, so other columns cannot clash.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -73,6 +74,7 @@ class LicenseModel:
     weights: np.ndarray  # one row per n-gram, and the bias as last row
     temperature: float
     templates: tuple[tuple[int, frozenset[str]], ...]  # family and triples (or all n-grams of a short notice)
+    calibration_error: float  # on rows that training did not see
 
     def probabilities(self, words: list[str]) -> np.ndarray:
         return softmax(self.logits(words) / self.temperature)
@@ -126,14 +128,21 @@ def _variations(copies: int, others: list[list[str]], rng: np.random.Generator)
                 some = [w for w in words if rng.random() > 0.06] or words
                 if k % 2 and others:
                     other = others[rng.integers(len(others))]
-                    a, b = rng.integers(0, 9, 2)
+                    # few words, or as many as a window can hold besides
+                    a, b = rng.integers(0, 9 if k % 4 == 1 else max(9, (WINDOW_WORDS - len(some)) // 2), 2)
                     some = other[:a] + some + other[a : a + b]
                 rows.append(some)
                 labels.append(i)
+        # notices stand together in headers and licence files
+        for _ in range(copies if len(notices) > 1 else 0):
+            at = rng.integers(0, len(notices) - 1)
+            joined = [w for notice in notices[at : at + rng.integers(2, 4)] for w in WORDS.findall(notice.lower())]
+            rows.append([w for w in joined if rng.random() > 0.06])
+            labels.append(i)
     return rows, labels
 
 
-def train(others: list[list[str]], copies: int = 90, rounds: int = 250, penalty: float = 1e-4, seed: int = 3) -> LicenseModel:
+def train(others: list[list[str]], copies: int = 120, max_rounds: int = 1_000, penalty: float = 1e-6, seed: int = 3) -> LicenseModel:
     """Fit on variations of the templates and on windows of other text."""
     rng = np.random.default_rng(seed)
     templates = _templates()
@@ -145,23 +154,25 @@ def train(others: list[list[str]], copies: int = 90, rounds: int = 250, penalty:
     n_classes = len(TEMPLATES) + 1
     rows, labels = rows + others + [[]], np.array(labels + [n_classes - 1] * (len(others) + 1))
 
-    x = np.zeros((len(rows), len(vocabulary) + 1), dtype=np.float32)
+    x = np.zeros((len(rows), len(vocabulary) + 1))
     x[:, -1] = 1
     for i, words in enumerate(rows):
         found, n = features(words, number)
         x[i, found] = 1 / np.sqrt(n)
-    target = np.eye(n_classes, dtype=np.float32)[labels]
+    target = np.eye(n_classes)[labels]
     held = rng.random(len(rows)) < 0.2
     share = np.bincount(labels, minlength=n_classes)
     weight = (1 / np.maximum(share, 1))[labels] * np.where(labels == n_classes - 1, n_classes - 1, 1)  # other text counts like all families
-    fit, g = x[~held], (weight / weight[~held].sum())[~held, None].astype(np.float32)
-    w = np.zeros((x.shape[1], n_classes), dtype=np.float32)
-    ahead, rate = w, 40.0
-    for k in range(rounds):  # accelerated gradient descent
-        slope = fit.T @ (g * (softmax(fit @ ahead) - target[~held])) + penalty * ahead
-        new = ahead - rate * slope
-        ahead = new + k / (k + 3) * (new - w)
-        w = new
+    fit, own, g = x[~held], target[~held], (weight / weight[~held].sum())[~held, None]
+
+    def loss_and_slope(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = fit @ w
+        z -= z.max(1, keepdims=True)
+        total = np.exp(z).sum(1, keepdims=True)
+        loss = float((g * (np.log(total) - (own * z).sum(1, keepdims=True))).sum()) + penalty / 2 * float((w * w).sum())
+        return loss, fit.T @ (g * (np.exp(z) / total - own)) + penalty * w
+
+    w = minimise(loss_and_slope, np.zeros((x.shape[1], n_classes)), max_rounds)
     test = x[held] @ w if held.any() else x @ w
     truth = labels[held] if held.any() else labels
 
@@ -169,7 +180,51 @@ def train(others: list[list[str]], copies: int = 90, rounds: int = 250, penalty:
         return float(-np.log(np.maximum(softmax(test / t)[np.arange(len(truth)), truth], 1e-12)).mean())
 
     temperature = min(np.geomspace(0.05, 5, 60).tolist(), key=loss)
-    return LicenseModel(tuple(TEMPLATES), number, w, temperature, templates)
+    p = softmax(test / temperature)
+    return LicenseModel(tuple(TEMPLATES), number, w, temperature, templates, calibration_error(p.max(1), p.argmax(1) == truth))
+
+
+def calibration_error(sure: np.ndarray, right: np.ndarray, bins: int = 10) -> float:
+    """Mean difference, over rows, of the probability of the best class and the share of such rows that are right."""
+    slot = np.minimum((sure * bins).astype(int), bins - 1)
+    return float(sum(abs(sure[slot == b].sum() - right[slot == b].sum()) for b in range(bins)) / max(1, len(sure)))
+
+
+def minimise(
+    loss_and_slope: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, max_rounds: int, tolerance: float = 1e-7, memory: int = 12
+) -> np.ndarray:
+    """Minimum of a strictly convex function, where its slope is shorter than `tolerance`.
+
+    Quasi-Newton steps (limited-memory BFGS), each halved until the function falls by a share of what its slope promises.
+    """
+    w, (value, slope) = start, loss_and_slope(start)
+    steps: list[tuple[np.ndarray, np.ndarray, float]] = []  # moves, changes of the slope, and one over their product
+    for _ in range(max_rounds):
+        if np.sqrt((slope * slope).sum()) < tolerance:
+            break
+        direction, factors = slope.copy(), []
+        for s, y, rho in reversed(steps):
+            factors.append(rho * (s * direction).sum())
+            direction -= factors[-1] * y
+        if steps:
+            s, y, rho = steps[-1]
+            direction /= rho * (y * y).sum()
+        for (s, y, rho), a in zip(steps, reversed(factors), strict=True):
+            direction += s * (a - rho * (y * direction).sum())
+        fall, rate = (slope * direction).sum(), 1.0
+        while rate > 1e-12:
+            new = w - rate * direction
+            new_value, new_slope = loss_and_slope(new)
+            if new_value <= value - 1e-4 * rate * fall:
+                break
+            rate /= 2
+        else:
+            break  # as near as floating point allows
+        s, y = new - w, new_slope - slope
+        if (s * y).sum() > 0:
+            steps = [*steps[-memory + 1 :], (s, y, 1 / (s * y).sum())]
+        w, value, slope = new, new_value, new_slope
+    return w
 
 
 def learn(docs: DataFrame, max_others: int = 3_000, seed: int = 3) -> LicenseModel:
@@ -212,12 +267,11 @@ def scan(docs: DataFrame, model: LicenseModel, min_probability: float = 0.5, min
         for line, words in windows(text):
             lines.add(line)
             p = model.probabilities(words)
-            family = int(p.argmax())
-            if family == other or p[family] < min_probability:
+            family = int(p[:other].argmax())
+            if p[family] < min_probability:
                 continue
             predicted.add(line)
-            # notices share sentences: the family is the one whose template is held most fully
-            similar, _, family = max((model.similarity(words, f), f == family, f) for f in range(other))
+            similar = model.similarity(words, family)
             if similar < min_similarity:
                 continue
             confirmed.add(line)

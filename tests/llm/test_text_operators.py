@@ -178,6 +178,53 @@ def test_templates_are_recognised(license_model):
             assert p.argmax() == i and license_model.similarity(words, i) == 1
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_training_converges(spark, monkeypatch, sf):
+    found = []
+    monkeypatch.setattr(license_scan, "train", lambda others, seed: found.append(others))
+    license_scan.learn(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"))
+    monkeypatch.undo()
+    models = [license_scan.train(found[0], max_rounds=n) for n in (1_000, 2_000)]
+    assert models[0].calibration_error < 0.03
+    for i, notices in enumerate(TEMPLATES.values()):
+        for notice in notices:
+            p = [m.probabilities(license_scan.WORDS.findall(notice.lower())) for m in models]
+            assert p[0].argmax() == p[1].argmax() == i and min(p[0][i], p[1][i]) >= 0.5
+
+
+def test_minimum_of_a_known_function():
+    centre = np.linspace(-3, 3, 20).reshape(5, 4)
+    scale = np.geomspace(1e-3, 10, 20).reshape(5, 4)
+    found = license_scan.minimise(lambda w: (float((scale * (w - centre) ** 2).sum()), 2 * scale * (w - centre)), np.zeros((5, 4)), 500)
+    assert np.abs(found - centre).max() < 1e-3
+
+
+def plain_license(text, model, min_probability=0.5, min_similarity=0.75):
+    """The scan of one text with dictionaries."""
+    weight = {g: model.weights[i] for g, i in model.number.items()}
+    best = None
+    for _, words in license_scan.windows(text or ""):
+        grams = {" ".join(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1)}
+        z = (sum(weight.get(g, 0) for g in grams) / max(1, 3 * len(words) - 3) ** 0.5 + model.weights[-1]) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        family = max(range(len(model.families)), key=lambda f: p[f])
+        held = max(len(t & grams) / len(t) for f, t in model.templates if f == family)
+        if p[family] >= min_probability and held >= min_similarity and (best is None or p[family] > best[1]):
+            best = model.families[family], p[family], held
+    return best or (None, None, None)
+
+
+def test_scan_as_the_plain_version(spark, sf_dir, license_model):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    rows += [(-1, None), (-2, "MIT"), *((1000 + k, "intro\n\n" + t) for k, t in enumerate(WRAPPED.values()))]
+    got = {r.doc_id: r for r in license_scan.scan(as_docs(spark, rows), license_model).collect()}
+    for i, text in rows:
+        name, p, held = plain_license(text, license_model)
+        assert got[i].license == name
+        if name is not None:
+            assert got[i].probability == pytest.approx(p) and got[i].probability >= 0.5 and got[i].similarity == held
+
+
 def test_license_lines_of_the_corpus(spark, sf_dir, license_model):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines = {"MIT": "Released under the MIT License.", "GPL": "GNU General Public License", "Apache": "Apache License, Version", "CC-BY-NC": "CC BY-NC 4.0"}
