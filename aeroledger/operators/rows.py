@@ -4,20 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroledger.functions.fixed_values import OPERATION_COLUMNS
 from aeroledger.operators.shaping import tag
 
 
-def drop_copies(df: DataFrame) -> DataFrame:
+def drop_copies(df: DataFrame, few: bool = False) -> DataFrame:
     """Keep one of each set of identical rows.
 
     Spark collapses copies inside each task before the shuffle, so a row with
     very many copies sends one row per task and makes no hot partition.
+
+    ``few=True`` is for a table that is cheap to read and has few copies: only a
+    fingerprint of each row is shuffled, and the rows whose fingerprint occurs
+    once go through as they are. The others, copies and any rows that share a
+    fingerprint by chance, are compared in full, so the result is the same. The
+    table is read three times, and has to give the same rows each time.
+    """
+    return drop_copies_by(df, row_fingerprint(df)) if few else df.dropDuplicates()
+
+
+def row_fingerprint(df: DataFrame) -> list[Column]:
+    """128 bits of all values of a row, and which of them are NULL (a hash of values skips those)."""
+    values = [F.col(f"`{c}`") for c in df.columns]
+    nulls = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values]) if values else F.lit("")
+    return [F.xxhash64(nulls, *values), F.xxhash64(F.lit(1), nulls, *values)]
+
+
+def drop_copies_by(df: DataFrame, fingerprint: Sequence[Column]) -> DataFrame:
+    """Keep one of each set of identical rows; ``fingerprint`` is equal for equal rows.
+
+    Spark broadcasts the repeated fingerprints where they are measured to be small;
+    else both sides are joined by them, and adaptive execution splits hot ones.
     """
-    return df.dropDuplicates()
+    names = [f"_fingerprint_{i}" for i in range(len(fingerprint))]
+    marked = df.withColumns(dict(zip(names, fingerprint, strict=True)))
+    repeated = marked.groupBy(*names).agg(F.count("*").alias("_n")).filter("_n > 1").select(*names)
+    single = marked.join(repeated, names, "left_anti").drop(*names)
+    compared = marked.join(repeated, names, "left_semi").drop(*names)
+    return single.unionAll(compared.dropDuplicates())
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

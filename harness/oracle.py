@@ -339,7 +339,7 @@ Q["j2_cancelled_weather_left"] = f"SELECT {_FACT}, {_SKY_COLUMNS} FROM silver_ca
 Q["u1_union_operations"] = "SELECT * FROM operations"
 
 # aggregates
-Q["a1_dedup"] = "SELECT DISTINCT * FROM raw_cancelled"
+Q["a1_dedup"] = Q["a1_dedup_few_copies"] = "SELECT DISTINCT * FROM raw_cancelled"
 Q["a5_rate"] = f"""SELECT Tail_Number, {rate('Dep_Delay>0', 1)} AS delayed_pct, {rate('Dep_Delay>0', 2)} AS delayed_pct_2
   FROM raw_flights GROUP BY 1"""
 Q["a6_mean"] = f"""SELECT Tail_Number, {mean('Arr_Delay', 1)} AS avg_arr_delay, {mean('Flight_Duration', 2)} AS avg_duration

@@ -373,6 +373,11 @@ def a1_dedup(spark, sf_dir):
     return rows.drop_copies(raw(spark, sf_dir, "cancelled"))
 
 
+@query
+def a1_dedup_few_copies(spark, sf_dir):
+    return rows.drop_copies(raw(spark, sf_dir, "cancelled"), few=True)
+
+
 @query
 def a5_rate(spark, sf_dir):
     shares = [averaged("delayed_pct", gold.DELAYED, 1, percent=True), averaged("delayed_pct_2", gold.DELAYED, 2, percent=True)]

@@ -195,3 +195,41 @@ def test_update_of_one_month(spark, sf_dir, tmp_path):
     for name in medallion.GOLD:
         medallion.build_gold(spark, name, lake)
         assert ordered(files.read_table(spark, files.table_path(f"{lake}/gold", name))) == updated[name]
+
+
+def shuffled_bytes(df):
+    """Bytes that the exchanges of a query have written."""
+    df.collect()
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if node.nodeName() in ("ShuffleQueryStage", "ResultQueryStage", "BroadcastQueryStage"):
+            return walk(node.plan())
+        own = node.metrics().get("shuffleBytesWritten") if node.nodeName() == "Exchange" else None
+        children = node.children()
+        return (own.get().value() if own is not None else 0) + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_few_copies_shuffle_fingerprints(spark, tmp_path):
+    wide = [F.sha2(F.concat(F.lit(str(i)), F.col("id").cast("string")), 256).alias(f"c{i}") for i in range(12)]
+    table = spark.range(20_000, numPartitions=8).select("id", *wide)
+    table.unionAll(table.filter("id % 500 = 0")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    few, all_rows = rows.drop_copies(df, few=True), rows.drop_copies(df)
+    assert ordered(few) == ordered(all_rows)
+    assert shuffled_bytes(few) < 0.25 * shuffled_bytes(all_rows)
+
+
+def test_few_copies_compare_rows_in_full(spark):
+    nan = float("nan")
+    data = [(1, "a", 0.0), (1, "a", -0.0), (None, "a", nan), (None, "a", nan), (1, None, None), (1, None, None), (None, None, None), (2, "1", 2.0), (1, "2", 2.0)]
+    data += [(k, None, None) for k in range(9)] + [(None, str(k), None) for k in range(9)]
+    df = spark.createDataFrame(data * 2, "a int, `b.c` string, d double").repartition(5)
+    want = ordered(rows.drop_copies(df))
+    whole = [F.hash("a"), F.lit(0)]
+    for got in (rows.drop_copies(df, few=True), rows.drop_copies_by(df, [F.lit(1)]), rows.drop_copies_by(df, whole)):
+        assert got.columns == df.columns and repr(ordered(got)) == repr(want)
+    assert rows.drop_copies(df.limit(0), few=True).count() == 0
