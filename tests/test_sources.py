@@ -1,8 +1,12 @@
 """Files written and read back, and the JDBC writer's settings."""
 
 import glob
+import json
+import os
+import uuid
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,6 +211,71 @@ def test_jdbc_settings():
     assert Frame.write.call == {"url": "jdbc:x", "table": "silver_flights", "properties": login}
 
 
+class Recorded:
+    """Stands in for a database: statements go to a file, and the parts noted as done are a set of file names."""
+
+    def __init__(self, folder, fail_at=None):
+        self.folder, self.fail_at, self.pending = folder, fail_at, []
+
+    def cursor(self):
+        return self
+
+    def execute(self, sql, values=()):
+        if self.fail_at is not None and sql.startswith("INSERT INTO t_parts") and values[0] == self.fail_at:
+            raise ConnectionError("lost")
+        self.pending.append((sql, values))
+        self.last = values
+
+    def executemany(self, sql, rows):
+        self.pending.append((sql, list(rows)))
+
+    def fetchone(self):
+        return (int(os.path.exists(f"{self.folder}/done-{self.last[0]}")),)
+
+    def commit(self):
+        for sql, values in self.pending:
+            if sql.startswith("INSERT INTO t_parts"):
+                open(f"{self.folder}/done-{values[0]}", "w").close()
+        with open(f"{self.folder}/log-{os.getpid()}-{uuid.uuid4().hex}", "w") as log:
+            json.dump(self.pending, log)
+        self.pending = []
+
+    def close(self):
+        pass
+
+
+def test_export_writes_each_part_in_a_transaction(tmp_path):
+    rows = pa.RecordBatch.from_pylist([{"a": 1, "export_part": 0}, {"a": 2, "export_part": 0}, {"a": 3, "export_part": 0}, {"a": 4, "export_part": 2}])
+    connection = Recorded(str(tmp_path))
+    transactions = []
+    commit = connection.commit
+    connection.commit = lambda: (transactions.append([s.split(" WHERE")[0].split(" (")[0] for s, _ in connection.pending]), commit())
+    target = jdbc.Target(lambda: connection, "t")
+    assert list(jdbc.write_parts(iter([rows[:1], rows[1:]]), target, 2)) == [0, 2]
+    one = ["SELECT count", "DELETE FROM t_staging", "INSERT INTO t_staging", "INSERT INTO t_parts"]
+    assert [[s.split("(")[0] for s in t] for t in transactions] == [[*one[:3], *one[2:]], one]
+    assert list(jdbc.write_parts(iter([rows]), target, 2)) == []  # noted as done
+    transactions.clear()
+    connection.pending = []
+    jdbc.publish(target, ["a"])
+    assert transactions == [["DELETE FROM t", "INSERT INTO t", "DELETE FROM t_staging", "DELETE FROM t_parts"]]
+
+
+def test_export_goes_on_after_a_failure(spark, tmp_path):
+    folder = str(tmp_path)
+    df = spark.range(500).select("id", F.col("id").cast("string").alias("text"))
+    with pytest.raises(Exception, match="lost"):
+        jdbc.export(df, jdbc.Target(lambda: Recorded(folder, fail_at=3), "t"), parts=8, connections=1)
+    before = len(glob.glob(f"{folder}/done-*"))
+    assert before == 3
+    assert not [x for log in glob.glob(f"{folder}/log-*") for x in json.load(open(log)) if x[0] == "DELETE FROM t"]
+    assert jdbc.export(df, jdbc.Target(lambda: Recorded(folder), "t"), parts=8, connections=2) == 8 - before
+    said = [x for log in glob.glob(f"{folder}/log-*") for x in json.load(open(log))]
+    staged = [tuple(r[:2]) for sql, rows in said if sql.startswith("INSERT INTO t_staging (") for r in rows]
+    assert sorted(staged) == sorted((i, str(i)) for i in range(500))
+    assert sum(sql == "DELETE FROM t" for sql, _ in said) == 1
+
+
 def test_export_copies_the_silver_flights(spark, sf_dir, tmp_path, monkeypatch):
     base, calls = str(tmp_path), []
     fixtures.raw(spark, sf_dir, "flights").write.parquet(f"{base}/bronze/flights")
