@@ -3,11 +3,13 @@
 import glob
 import json
 import os
+import sys
 import uuid
 from datetime import date
 
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from aeroledger.functions import fixed_values as fixed
@@ -262,6 +264,7 @@ def test_export_writes_each_part_in_a_transaction(tmp_path):
 
 
 def test_export_goes_on_after_a_failure(spark, tmp_path):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not find test modules
     folder = str(tmp_path)
     df = spark.range(500).select("id", F.col("id").cast("string").alias("text"))
     with pytest.raises(Exception, match="lost"):
