@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from itertools import groupby
-from typing import Any
+from typing import TYPE_CHECKING, Any
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:  # only the export needs the library
+    import pyarrow as pa
+
 
 def write_jdbc(
     df: DataFrame,
@@ -77,6 +79,8 @@ def export(df: DataFrame, target: Target, parts: int = 64, connections: int = 16
     sorted_parts = dealt.repartition(min(connections, parts), PART).sortWithinPartitions(PART)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         done = list(write_parts(batches, target, batch_size))
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int32())], [PART])
 
