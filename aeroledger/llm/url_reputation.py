@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from aeroledger.llm.common import durable
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Suffixes of two labels below which names are registered; all others have one label.
@@ -113,7 +115,8 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, lower_tail: float = 0
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
     )
-    counts = counts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    # one row per host, counted once for all sums below
+    counts = durable(counts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}))
 
     domains = counts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
