@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeroledger.llm.common import by_bytes
+from aeroledger.llm.common import by_bytes, durable
 
 BATCH_BYTES = 1 << 20
 
@@ -114,7 +114,8 @@ def encode(
             )
 
     chunks = long.mapInArrow(cut, chunk_type).repartition("row", "chunk")
-    chunks = chunks.mapInArrow(pretokenise, chunk_type + ", heads array<int>, tails array<int>")
+    # stitched chunks and texts without a common boundary both start here
+    chunks = durable(chunks.mapInArrow(pretokenise, chunk_type + ", heads array<int>, tails array<int>"))
     in_text = Window.partitionBy("row").orderBy("chunk")
     whole_text = Window.partitionBy("row")
     stitched = (
