@@ -9,8 +9,8 @@ Copies of a vector are one node that names the smallest ids, as many as a result
 vector that a third of the rows share costs a few rows per task. Queries go to a shard in blocks, so neither side of a task grows with the data.
 
 Edge cases: a vector that is null or zero, or has a null or non-finite component, takes no part, neither does a null id. Vectors are compared
-with those of the same length only. Rows equal in id and vector count once; a row with the query's id is no candidate. Fewer candidates than
-`k` give fewer rows, an empty table none. Only the named columns are read, so other columns cannot clash.
+with those of the same length only. Every row is a candidate but the query's own; rows equal in id and vector are one query, for which one of
+them is its own. Fewer candidates than `k` give fewer rows, an empty table none. Only the named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -182,7 +182,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, options: GraphOpti
     Nearest is the largest inner product of the original vectors in double precision, ties go to the smaller vec_id.
     """
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    rows = rows.select("vec_id", F.col("embedding").alias("vector"), F.size("embedding").alias("length"), is_query.alias("asks")).distinct()
+    rows = rows.select("vec_id", F.col("embedding").alias("vector"), F.size("embedding").alias("length"), is_query.alias("asks"))
     element = rows.schema["vector"].dataType.simpleString()
 
     nodes = (
@@ -232,14 +232,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, options: GraphOpti
         ):
             near = near[near >= 0]
             scores = original[near] @ vector
-            hits = [(-s, i) for s, node in zip(scores.tolist(), near.tolist(), strict=True) for i in ids[node] if i != query]
+            hits = []
+            for s, node in zip(scores.tolist(), near.tolist(), strict=True):
+                others = list(ids[node])
+                if query in others and np.array_equal(original[node], vector):
+                    others.remove(query)  # the query's own row, and no other with its id
+                hits += [(-s, i) for i in others]
             out += [(query, i, mark, -s) for s, i in sorted(hits)[:k]]
         return pa.table(list(map(list, zip(*out, strict=True))) if out else [[]] * 4, schema=empty)
 
     shard_of = F.pmod(F.xxhash64("vector"), F.lit(n_shards)).cast("int")
     index = nodes.withColumn("shard", shard_of).groupBy("length", "shard").applyInArrow(build, node_type)
     index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    asking = rows.where("asks").select("vec_id", "vector", "length", F.xxhash64("vector").alias("vector_hash"))
+    asking = rows.where("asks").select("vec_id", "vector", "length", F.xxhash64("vector").alias("vector_hash")).distinct()
     asking = asking.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n_blocks)).cast("int"))
     asking = asking.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
     keys = ("length", "shard", "block")
