@@ -4,12 +4,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aeroledger.llm import best_fit, components, graph_ann, lattice_dedup, simhash_trie, suffix_dedup
+from aeroledger.llm import best_fit, components, graph_ann, lattice_dedup, oracle, simhash_trie, suffix_dedup
 from aeroledger.llm.graph_ann import GraphOptions
 from aeroledger.llm.lattice_dedup import LatticeOptions
 
@@ -242,6 +243,44 @@ def test_lattice_finds_all_links(spark, vectors, block_rows):
     assert lattice_dedup.near_duplicates(as_vectors(spark, [])).count() == 0
 
 
+def planted_pairs(rng, n, dims, cosine):
+    """n pairs of unit vectors with the given cosine."""
+    a = rng.normal(size=(n, dims))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    other = rng.normal(size=(n, dims))
+    other -= (other * a).sum(1, keepdims=True) * a
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    return a, cosine * a + np.sqrt(1 - cosine**2) * other
+
+
+@pytest.mark.parametrize("dims", [64, 384])
+def test_lattice_recall_by_cosine(spark, dims):
+    rng, rows, of_pair = np.random.default_rng(dims), [], []
+    for cosine, n in ((0.9301, 3_000), (0.935, 1_000), (0.94, 1_000), (0.95, 500), (0.99, 300), (0.929, 300)):
+        for a, b in zip(*planted_pairs(rng, n, dims, cosine), strict=True):
+            of_pair.append((len(rows), cosine))
+            rows += [(len(rows), a.tolist(), 0), (len(rows) + 1, b.tolist(), 0)]
+    assert len(rows) > 10_000
+    got = {r.vec_id: r for r in lattice_dedup.near_duplicates(as_vectors(spark, rows)).collect()}
+    missed = Counter(c for i, c in of_pair if c >= 0.93 and got[i + 1].component_id != i)
+    assert sum(missed.values()) <= 2 and not any(missed[c] for c in (0.95, 0.99))
+    assert all(got[i + 1].kept and got[i].n_links == 0 for i, c in of_pair if c < 0.93)
+
+
+def test_lattice_sql_on_a_table_with_links(spark, duck):
+    rng, rows = np.random.default_rng(3), []
+    for cosine in (0.92, 0.931, 0.95, 0.999):
+        for a, b in zip(*planted_pairs(rng, 60, 16, cosine), strict=True):
+            rows += [(len(rows), a.tolist(), len(rows) % 3), (len(rows) + 1, b.tolist(), len(rows) % 3)]
+    rows += [(1_000 + i, v, label) for i, v, label in rows[:20]]
+    found = sorted(tuple(r) for r in lattice_dedup.near_duplicates(as_vectors(spark, rows)).select("vec_id", "n_links", "component_id", "kept").collect())
+    table = pa.table({"vec_id": [i for i, _, _ in rows], "embedding": [v for _, v, _ in rows], "label": [x for _, _, x in rows]})
+    con = duck.cursor()
+    con.register("planted", table)
+    want = con.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({oracle.LATTICE_DEDUP.replace('FROM embeddings', 'FROM planted')})").fetchall()
+    assert found == sorted(want) and sum(n > 0 for _, n, _, _ in found) > 300
+
+
 def test_nearest_lattice_point():
     x = np.random.default_rng(1).uniform(-3, 3, (500, 8))
     point = lattice_dedup.nearest_point(x)
@@ -275,6 +314,28 @@ def test_search_small_table_is_exact(spark, vectors):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in two) == [(1, 1, 2, 2.0), (2, 1, 1, 2.0)]
 
 
+def test_rows_that_share_an_id_are_candidates(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (1, [3.0, 0.0], 0), (2, [2.0, 0.0], 0), (2, [2.0, 0.0], 0)]
+    got = graph_ann.search(as_vectors(spark, rows), F.col("vec_id") == 1, k=9).collect()
+    # the query [1, 0] meets its copy, [3, 0] and both of id 2; the query [3, 0] both of its own id and both of id 2
+    assert sorted((r.vec_id, r.score) for r in got) == [(1, 1.0), (1, 3.0), (1, 3.0), (1, 3.0), (2, 2.0), (2, 2.0), (2, 6.0), (2, 6.0)]
+
+
+def test_search_recall_in_several_shards(spark):
+    rng = np.random.default_rng(12)
+    x = (rng.normal(size=(40, 32))[rng.integers(0, 40, 6_000)] + 0.7 * rng.normal(size=(6_000, 32)))
+    options = GraphOptions(shard_rows=1_500)
+    got = {}
+    for r in graph_ann.search(as_vectors(spark, [(i, v, 0) for i, v in enumerate(x.tolist())]), F.col("vec_id") % 40 == 0, options=options).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for q in range(0, 6_000, 40):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.95
+
+
 def test_search_recall(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     x = {r.vec_id: np.array(r.embedding, dtype=np.float64) for r in rows.collect()}
