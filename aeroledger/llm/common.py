@@ -23,11 +23,16 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) ->
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; set below the warehouse only where the session has none."""
+    """The shared folder that the cluster names; set below the warehouse only where the session has none.
+
+    A folder that is set here is the session's own and goes when its JVM ends.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        path = spark._jvm.org.apache.hadoop.fs.Path(context.getCheckpointDir())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return context.getCheckpointDir()
 
 
