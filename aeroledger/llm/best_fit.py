@@ -1,8 +1,9 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
 Pieces are placed longest first, each into the open bin with the least room that still fits. If none fits, a bin of the size that costs least
-per token it can still be expected to hold is opened. This is done once for every largest size that may be opened, and the cheapest result
-counts; in each, a bin shrinks in the end to the smallest size that holds its contents. Sizes are thus chosen together, not one by one.
+per token it can still be expected to hold is opened. Each shard is packed once for every permitted size as the largest that is opened for pieces
+it can hold (a longer piece opens the smallest size that holds it), and the cheapest result counts; in each, a bin shrinks in the end to the
+smallest size that holds its contents. Mixes of sizes are thus compared as a whole, whatever the longest piece is.
 
 Pieces are dealt evenly to shards of bounded size, and each is packed by itself; a shard loses at most its last few bins against packing all
 together. A document longer than the largest size is cut into pieces of that size and a rest.
@@ -14,6 +15,7 @@ read, so other columns cannot clash.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -38,22 +40,22 @@ CAPACITIES = {c: training_cost(c) for c in (512, 1024, 2048, 4096, 8192)}
 
 def best_fit(lengths: np.ndarray, capacities: Mapping[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bin of each piece (numbered from 0), place in its bin, and capacity of each bin. No length exceeds the largest capacity."""
-    sizes = sorted(capacities)
-    longest = int(lengths.max(initial=0))
+    sizes = np.array(sorted(capacities))
+    assert lengths.max(initial=0) <= sizes[-1], "a piece is longer than the largest capacity"
     best: tuple[float, tuple] | None = None
-    for i, largest in enumerate(sizes):
-        if largest < longest:
-            continue
-        bins, places, contents = _pack(lengths, {c: capacities[c] for c in sizes[: i + 1]})
-        shrunk = np.array(sizes)[np.searchsorted(sizes, contents)]
+    for usual in sizes.tolist():
+        bins, places, contents = _pack(lengths, capacities, usual)
+        shrunk = sizes[np.searchsorted(sizes, contents)]
         cost = sum(capacities[c] for c in shrunk.tolist())
         if best is None or cost < best[0]:
             best = cost, (bins, places, shrunk)
-    assert best is not None, "a piece is longer than the largest capacity"
+    assert best is not None, "there is no capacity"
     return best[1]
 
 
-def _pack(lengths: np.ndarray, capacities: Mapping[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pack(lengths: np.ndarray, capacities: Mapping[int, float], usual: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bin and place of each piece, and contents of each bin, if sizes above `usual` are opened for longer pieces only."""
+    sizes = sorted(capacities)
     bins, places = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
     left = int(lengths.sum())  # tokens not yet placed, this piece included
     rooms = 0  # bit r: some open bin has room for r tokens
@@ -68,7 +70,8 @@ def _pack(lengths: np.ndarray, capacities: Mapping[int, float]) -> tuple[np.ndar
             if not open_bins[room]:
                 rooms ^= 1 << room
         else:
-            room = min((c for c in capacities if c >= length), key=lambda c: (capacities[c] / min(c, left), c))
+            largest = max(usual, sizes[bisect_left(sizes, length)])
+            room = min((c for c in sizes if length <= c <= largest), key=lambda c: (capacities[c] / min(c, left), c))
             found = len(filled)
             filled.append(0)
         bins[at], places[at] = found, filled[found]

@@ -357,16 +357,14 @@ def plain_best_fit(lengths, costs):
     """Bins as lists of lengths, scanning all open bins for each piece."""
     best = None
     for largest in sorted(costs):
-        sizes = {c: costs[c] for c in costs if c <= largest}
-        if max(lengths) > largest:
-            continue
         bins, left = [], sum(lengths)
         for n in sorted(lengths, reverse=True):
             fits = [b for b in bins if b[0] - sum(b[1]) >= n]
             if fits:
                 min(fits, key=lambda b: b[0] - sum(b[1]))[1].append(n)
             else:
-                bins.append((min((c for c in sizes if c >= n), key=lambda c: (sizes[c] / min(c, left), c)), [n]))
+                sizes = [c for c in costs if n <= c <= max(largest, min(c for c in costs if c >= n))]
+                bins.append((min(sizes, key=lambda c: (costs[c] / min(c, left), c)), [n]))
             left -= n
         cost = sum(costs[min(c for c in costs if c >= sum(b))] for _, b in bins)
         best = cost if best is None else min(best, cost)
@@ -386,6 +384,15 @@ def test_best_fit_costs_as_the_plain_version():
             assert size == min(c for c in costs if c >= sum(n for _, n in own))
 
 
+def test_mixes_are_compared_whatever_the_longest_piece_is(monkeypatch):
+    tried, pack = [], best_fit._pack
+    monkeypatch.setattr(best_fit, "_pack", lambda lengths, capacities, usual: tried.append(usual) or pack(lengths, capacities, usual))
+    costs = {8: 8.5, 16: 17.5, 32: 40.0, 64: 100.0}
+    lengths = np.array([64, 40, *[8] * 20])
+    _, _, sizes = best_fit.best_fit(lengths, costs)
+    assert tried == sorted(costs) and Counter(sizes.tolist()) == {64: 2, 8: 17}
+
+
 def test_pack_places_every_token_once(spark):
     rng = random.Random(7)
     rows = [(i, rng.randint(0, 90)) for i in range(400)] + [(None, 5), (3, 7), (3, 7), (900, None), (901, 0), (902, 1000)]
