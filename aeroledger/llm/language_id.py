@@ -1,11 +1,12 @@
 """Language identification with bit-sliced Bloom filters of character n-grams.
 
-One table of bit masks serves all languages: a slot's bit l belongs to the Bloom filter of language l. Looking up the slots of an n-gram and
-and-ing them gives all languages that contain it. A document counts, per language, how many of its n-grams hit; the share that the filter's
+One table of bit masks serves all languages: a slot's bit l belongs to the Bloom filter of language l; from 65 languages on, a slot is several
+64-bit words. Looking up the slots of an n-gram and and-ing them gives all languages that contain it. A document counts, per language, how many of its n-grams hit; the share that the filter's
 fill predicts as false positives is taken out; the language with the largest corrected share wins.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0. A text whose n-grams hit nothing goes to the language with most
-training documents, with score 0. Ties go to the language with more training documents, then by name. Training skips null texts and null
+training documents, with score 0. Ties go to the language with more training documents, then by name. A very long text is one array of its
+characters in one task. Training skips null texts and null
 languages; without any training row every document is `und`. Only the named columns are read, so other columns cannot clash.
 """
 
@@ -30,7 +31,7 @@ BATCH_BYTES = 1 << 20
 @dataclass(frozen=True)
 class BloomModel:
     langs: tuple[str, ...]  # most training documents first; bit l of a slot is language l
-    slots: np.ndarray  # masks, one unsigned integer per slot
+    slots: np.ndarray  # masks, one unsigned integer per slot; with more than 64 languages a row of them
     false_rate: np.ndarray  # per language, the chance that an absent n-gram hits
 
 
@@ -87,15 +88,13 @@ def learn(
     """Fit the filters on about `max_docs` documents (the bound of the sample), chosen by a hash of their ids.
 
     An n-gram joins the filter of each language in which it occurs at least twice and at least `min_share` as often (per n-gram) as where it
-    is most frequent; a language keeps its `grams_per_lang` most frequent. The driver receives at most `n_slots` masks.
+    is most frequent; a language keeps its `grams_per_lang` most frequent. The driver receives at most `n_slots` masks for 64 languages.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = tuple(sorted(sizes, key=lambda x: (-sizes[x], x)))
-    if len(langs) > 64:
-        raise ValueError(f"a bit mask holds 64 languages, got {len(langs)}")
-    kind = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(langs) <= bits)
-    empty = np.zeros(n_slots, dtype=kind)
+    kind = next((t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32)) if len(langs) <= bits), np.uint64)
+    empty = np.zeros(n_slots if len(langs) <= 64 else (n_slots, -(-len(langs) // 64)), dtype=kind)
     if not langs:
         return BloomModel((), empty, np.zeros(0))
 
@@ -134,16 +133,25 @@ def learn(
         for batch in batches:
             h = batch.column("gram").to_numpy().view(np.uint64)
             slots = np.concatenate([slots_of(h, k, n_slots) for k in range(HASHES)]).astype(np.int64)
-            masks = np.tile(np.uint64(1) << batch.column("bit").to_numpy().astype(np.uint64), HASHES)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(masks.view(np.int64))], ["slot", "mask"])
+            bit = batch.column("bit").to_numpy()
+            masks = np.tile(np.uint64(1) << (bit % 64).astype(np.uint64), HASHES)
+            words = np.tile((bit // 64).astype(np.int32), HASHES)
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(words), pa.array(masks.view(np.int64))], ["slot", "word", "mask"])
 
-    masks = chosen.mapInArrow(place, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    masks = chosen.mapInArrow(place, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    slot, word, mask = (masks.column(c).to_numpy() for c in ("slot", "word", "mask"))
     table = empty
-    table[masks.column("slot").to_numpy()] = masks.column("mask").to_numpy().view(np.uint64).astype(kind)
-    fill = np.array([((table >> kind(i)) & kind(1)).mean() for i in range(len(langs))])
+    table[slot if table.ndim == 1 else (slot, word)] = mask.view(np.uint64).astype(kind)
+    fill = np.array([_bits(table, i).mean() for i in range(len(langs))])
     return BloomModel(langs, table, fill**HASHES)
 
 
+def _bits(masks: np.ndarray, lang: int) -> np.ndarray:
+    """Whether each mask has the bit of a language."""
+    words = masks if masks.ndim == 1 else masks[:, lang // 64]
+    return ((words >> words.dtype.type(lang % 64)) & words.dtype.type(1)).astype(bool)
+
+
 def identify(texts: list[str], model: BloomModel) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Per text: language, score, and the corrected share of n-grams that the language contains."""
     h, owner, has = grams(texts)
@@ -154,7 +162,7 @@ def identify(texts: list[str], model: BloomModel) -> tuple[list[str], np.ndarray
         for k in range(1, HASHES):
             hit = hit & model.slots[slots_of(h, k, len(model.slots))]
         for i in range(len(model.langs)):
-            found = np.bincount(owner[((hit >> hit.dtype.type(i)) & hit.dtype.type(1)).astype(bool)], minlength=len(texts))
+            found = np.bincount(owner[_bits(hit, i)], minlength=len(texts))
             share[:, i] = np.maximum(0, found / np.maximum(n, 1) - model.false_rate[i]) / (1 - model.false_rate[i])
     best = share.argmax(1)
     top = share[np.arange(len(texts)), best]

@@ -4,6 +4,7 @@ import base64
 import math
 import random
 import textwrap
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -121,6 +122,57 @@ def test_bloom_has_no_false_negatives(spark):
     assert names == ["x", "y"] and (share > 0.6).all() and (score > 0.9).all()
 
 
+def test_a_hundred_languages(spark):
+    rng = random.Random(5)
+    words = {f"l{k:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöüß", k=rng.randint(3, 9))) for _ in range(60)] for k in range(100)}
+    rows = [(i, " ".join(rng.choices(words[lang], k=80)), lang) for i, lang in enumerate(sorted(words) * 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs.where("doc_id < 500"))
+    assert model.slots.shape[1] == 2 and len(model.langs) == 100
+    got = language_id.predict(docs, model, "doc_id", "lang").where("doc_id >= 500").collect()
+    assert len(got) == 100 and sum(r.lang == r.lang_pred for r in got) >= 99
+
+
+def plain_grams(text):
+    """4-grams of letters, with one blank kept on each side of a word."""
+    text = text.lower()
+    letter = [c.isalpha() for c in text]
+    kept = "".join(c if letter[i] else " " for i, c in enumerate(text) if any(letter[max(0, i - 1) : i + 2]))
+    return [kept[i : i + 4] for i in range(len(kept) - 3)]
+
+
+def test_filters_as_plain_sets(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    model = language_id.learn(docs, max_docs=10**9)
+    counts = {lang: Counter(g for r in rows if r.lang == lang for g in plain_grams("\n" + r.text + "\n")) for lang in model.langs}
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    rate = {g: max(c[g] / total[x] for x, c in counts.items()) for c in counts.values() for g in c}
+    sets = {x: {g for g, n in c.items() if n >= 2 and n / total[x] >= 0.2 * rate[g]} for x, c in counts.items()}
+    assert max(map(len, sets.values())) <= 60_000
+    texts = [r.text for r in rows]
+    names, _, share = language_id.identify(texts, model)
+    for text, name, found in zip(texts, names, share, strict=True):
+        grams = plain_grams("\n" + text + "\n")
+        if grams:
+            plain = {x: sum(g in s for g in grams) / len(grams) for x, s in sets.items()}
+            assert abs(plain[name] - found) < 0.05 and plain[name] >= max(plain.values()) - 0.05
+
+
+def test_language_of_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "the thing that is with the other " * 9, "en"), (2, "der die und das nicht " * 9, "de")], "doc_id long, text string, lang string")
+    model = language_id.learn(docs)
+    names, score, _ = language_id.identify(["der die und das nicht " * 100_000, "the other thing", "is\n" * 10 + "the"], model)
+    assert names == ["de", "en", "en"] and score[0] > 0.9
+
+
+def test_equal_shares_go_to_the_language_with_more_documents(spark):
+    rows = [(1, "same words here " * 5, "b"), (2, "same words here " * 5, "b"), (3, "same words here " * 10, "a"), (4, "same words here " * 10, "c")]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ("b", "a", "c")
+    assert language_id.identify(["same words", "zzz qqq"], model)[0] == ["b", "b"]
+
+
 # ---- byte BPE
 
 
