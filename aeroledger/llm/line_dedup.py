@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeroledger.llm.common import durable
+
 #: What is stripped from both ends of a line, and the letters that are lower-cased.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,8 +54,10 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     places = named.select("doc_id", "text_hash", F.posexplode(_lines(F.col("text"))).alias("place", "line"))
     places = places.select("doc_id", "text_hash", "place", line_key(F.col("line")).alias("key"))
     places = places.where(F.char_length("key") >= min_chars).select("doc_id", "text_hash", "place", *_hashes(F.col("key")))
+    # a table of its own: else the join shares the shuffle that counts the lines, and its hot keys could not be split
+    frequent = durable(frequent_lines(docs, min_docs, min_chars).select("h1", "h2"))
     dropped = (
-        places.join(frequent_lines(docs, min_docs, min_chars).select("h1", "h2"), ["h1", "h2"])
+        places.join(frequent, ["h1", "h2"])
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("place").alias("dropped"))
         .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "dropped")
