@@ -2,9 +2,8 @@
 
 An exact profile is one distributed job over all columns. Columns are turned into
 (column, value) pairs, and the pairs are counted by two nested aggregations, so
-no column's values ever meet in one task. The sketched profile and the list of
-values of narrow columns are one aggregation each: a task sends a sketch or a
-bounded set per column, whatever the number of its rows.
+no column's values ever meet in one task. The sketched profile is one
+aggregation: a task sends one sketch per column, whatever the number of its rows.
 """
 
 from __future__ import annotations
@@ -99,23 +98,26 @@ def profile_numeric(df: DataFrame) -> DataFrame:
 def low_cardinality(df: DataFrame, k: int = LOW_CARDINALITY) -> DataFrame:
     """The values of every column that has fewer than ``k`` of them, NULL included.
 
-    One scan and one aggregation. For each column a task keeps about ``k`` values
-    (``approx_top_k``, which loses none while a column has no more than that) and
-    a sketch that counts exactly up to ``2k`` and never less than that beyond, so
-    it tells the columns that have more.
+    A first job marks, in one 64-bit mask per column, the slots to which a hash
+    sends its values. A column never has fewer values than slots, so those with
+    ``k`` slots or more are out; one row of masks reaches the driver. Only the
+    columns left are read again, and only their values are shuffled and counted.
     """
-    precision = max(4, (2 * k - 1).bit_length())  # of the sketch, in powers of two
-    names, aggregates = df.columns, []
-    for n, f in zip(names, df.schema, strict=True):
-        text = _as_text(n, f.dataType)
-        distinct = F.theta_sketch_estimate(F.theta_sketch_agg(_sketched(n, f.dataType), precision))
-        null = F.max(F.when(text.isNull(), 1).otherwise(0))
-        aggregates += [
-            F.call_function("approx_top_k", text, F.lit(k), F.lit(k)).alias(f"{n}_values"),
-            (distinct + F.coalesce(null, F.lit(0))).alias(f"{n}_n"),
+    one = F.lit(1).cast("bigint")
+    masks = df.agg(
+        *[
+            F.bit_or(F.call_function("shiftleft", one, F.pmod(F.xxhash64(_as_text(f.name, f.dataType)), F.lit(64)).cast("int"))).alias(str(i))
+            for i, f in enumerate(df.schema)
         ]
-    columns = _one_row_each(df.agg(*aggregates), names, {"values": "values", "n": "n"})
-    return columns.filter(F.col("n") < k).select("column_name", F.explode("values.item").alias("value"))
+    ).first()
+    narrow = [n for n, mask in zip(df.columns, masks, strict=True) if mask is not None and (mask % 2**64).bit_count() < k]
+    if not narrow:
+        narrow = df.columns[:1]  # its values are counted below, and found too many
+    values = _value_counts(df.select(*[f"`{n}`" for n in narrow])).select("column_name", "value")
+    few = values.groupBy("column_name").agg(F.count("*").alias("n")).filter(F.col("n") < k)
+    # An inner join, as Spark would move a semi join below the aggregation, where
+    # the two sides no longer share their shuffle and the table is read twice.
+    return values.join(few, "column_name").select("column_name", "value")
 
 
 def sketch_columns(df: DataFrame, precision: int = 14) -> DataFrame:
