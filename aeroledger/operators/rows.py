@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
 from aeroledger.functions.fixed_values import OPERATION_COLUMNS
 from aeroledger.operators.shaping import tag
@@ -47,6 +48,19 @@ def drop_copies_by(df: DataFrame, fingerprint: Sequence[Column]) -> DataFrame:
     return single.unionAll(compared.dropDuplicates())
 
 
+def in_ranges(df: DataFrame, by: Column) -> DataFrame:
+    """Shuffle the rows into ranges of ``by``, kept as column ``_range``; copies of a row meet in one of them.
+
+    Removing copies afterwards takes no second shuffle, and a table that is
+    partitioned by something that grows with ``by`` can be written from the
+    ranges as they are. Their bounds come from a sample, so much-used values of
+    ``by`` are split, by the other columns. Spark reads the table twice for this.
+    """
+    # Spark groups by normalised floats, so a range of a float would not count as one of the groups.
+    exact = [f.name for f in df.schema if not isinstance(f.dataType, FractionalType) or isinstance(f.dataType, DecimalType)]
+    return df.withColumn("_range", by).repartitionByRange("_range", *[F.col(f"`{c}`") for c in exact])
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values held by more than one row, with their row counts.
 

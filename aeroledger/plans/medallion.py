@@ -21,9 +21,9 @@ from aeroledger.functions.fixed_values import (
     SILVER_SCHEMAS,
 )
 from aeroledger.operators.profiling import audit
-from aeroledger.operators.rows import drop_copies
+from aeroledger.operators.rows import drop_copies, in_ranges
 from aeroledger.plans import gold, states
-from aeroledger.plans.silver import CLEANING, SILVER
+from aeroledger.plans.silver import CLEANING, SILVER, raw_day
 from aeroledger.sources.files import ingest, read_table, replace_table, table_path
 from aeroledger.sources.jdbc import write_jdbc
 
@@ -59,16 +59,23 @@ class Cleaned:
 
 
 def build_silver(spark: SparkSession, name: str, base: str) -> Cleaned:
-    """Write one silver table from its bronze table; rows are counted on their way, so nothing is read again for it."""
+    """Write one silver table from its bronze table; rows are counted on their way, so nothing is read again for it.
+
+    A table of months is shuffled once, into ranges of days: that brings copies
+    together and lays out the files too. The bronze rows are counted behind that
+    shuffle, because they are also read for the bounds of the ranges.
+    """
     counts = {step: Observation() for step in ("bronze", "distinct", "silver")}
 
     def counted(df: DataFrame, step: str) -> DataFrame:
         return df.observe(counts[step], F.count("*").alias("rows"))
 
     bronze = read_table(spark, table_path(f"{base}/bronze", name))
-    distinct = counted(drop_copies(counted(bronze, "bronze")), "distinct")
+    months = SILVER_PARTITIONS[name]
+    dealt = in_ranges(bronze, raw_day(name)) if months else bronze
+    distinct = counted(drop_copies(counted(dealt, "bronze")).drop("_range"), "distinct")
     table = CLEANING[name](distinct)
-    replace_table(counted(table, "silver"), table_path(f"{base}/silver", name), SILVER_PARTITIONS[name])
+    replace_table(counted(table, "silver"), table_path(f"{base}/silver", name), months, rebalance=False)
     read, kept, written = (observed.get["rows"] for observed in counts.values())
     return Cleaned(read, kept, read - kept, written, len(table.columns))
 

@@ -7,7 +7,7 @@ merged the steps.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -132,6 +132,13 @@ def silver_airports(raw: DataFrame) -> DataFrame:
     return clean_airports(drop_copies(raw))
 
 
+def raw_day(table: str) -> Column:
+    """Day of a raw row, by which the months of its silver table are in order."""
+    if table == "flights":
+        return F.try_to_date(F.trim("FlightDate"), fixed.FLIGHT_DATE_FORMAT)
+    return F.col({"cancelled": "FlightDate", "weather": "time"}[table])
+
+
 CLEANING = {
     "flights": clean_flights,
     "cancelled": clean_cancelled,

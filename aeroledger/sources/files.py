@@ -67,8 +67,8 @@ def _struct(schema: str | StructType) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    if partition_by:
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True) -> None:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
@@ -87,14 +87,16 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     _write(df, path, partition_by)
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True) -> None:
     """Replace a parquet table at once: readers see the old one until all files of the new one are written.
 
     The files are laid out as by :func:`write_table`, in a version of their own
     (see :mod:`aeroledger.sources.versions`). ``df`` may read the table it replaces.
+    ``rebalance=False`` is for rows that already lie together by their partition
+    columns; it saves a shuffle of the table.
     """
     version = versions.new_version(path)
-    _write(df, f"{path}/{version}", partition_by)
+    _write(df, f"{path}/{version}", partition_by, rebalance)
     versions.publish(df.sparkSession, path, version)
 
 

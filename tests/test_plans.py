@@ -4,7 +4,9 @@ import re
 from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from aeroledger.functions import fixed_values as fixed
 from aeroledger.operators import joins, profiling, rows
@@ -128,6 +130,35 @@ def test_copies_collapse_before_the_shuffle(spark):
     assert rows.drop_copies(df).count() == 60001
 
 
+@pytest.mark.parametrize("name", ["flights", "cancelled", "weather"])
+def test_silver_build_shuffles_its_table_once(spark, sf_dir, tmp_path, monkeypatch, name):
+    twice = Tables(spark, sf_dir).raw(name).unionAll(Tables(spark, sf_dir).raw(name))
+    twice.write.parquet(files.table_path(f"{tmp_path}/bronze", name))
+    written, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: [written.append(self._df), write(self, path)])
+    counted = medallion.build_silver(spark, name, str(tmp_path))
+    assert len(re.findall("Exchange", final_plan(written[0]))) == 1
+    silver = medallion.read_silver(spark, str(tmp_path), name).drop("silver_load_timestamp")
+    assert ordered(silver) == ordered(Tables(spark, sf_dir).silver(name).drop("silver_load_timestamp"))
+    assert (counted.bronze_rows, counted.silver_rows) == (twice.count(), silver.count())
+
+
+def test_silver_files_follow_months_and_their_size(spark, conf, tmp_path):
+    conf({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"})
+    path = files.table_path(f"{tmp_path}/bronze", "weather")
+    hot = "CASE WHEN id % 100 < 98 THEN date'2023-03-05' ELSE date_add(date'2023-01-01', int(id % 365)) END"  # 98 % on a single day
+    struct = StructType.fromDDL(fixed.RAW_SCHEMAS["weather"])
+    known = {"time": hot, "airport_id": "sha2(string(id), 256)", "tavg": "id % 7 * 0.5e0"}
+    df = spark.range(0, 60000, numPartitions=16).selectExpr(*[f"cast({known.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in struct])
+    df.unionAll(df.limit(100)).write.parquet(path)
+    medallion.build_silver(spark, "weather", str(tmp_path))
+    found = medallion.read_silver(spark, str(tmp_path), "weather").withColumn("file", F.input_file_name())
+    months = found.groupBy("weather_month").agg(F.count("*").alias("n"), F.countDistinct("file").alias("files"))
+    found = {r.weather_month: r for r in months.collect()}
+    assert sum(r.n for r in found.values()) == 60000 and len(found) == 12
+    assert found[3].files > 4 and all(r.files <= 2 for m, r in found.items() if m != 3)
+
+
 def test_profiles_read_the_table_once(stored):
     assert final_plan(profiling.profile_columns(stored["weather"])).count("FileScan") == 1
     assert final_plan(profiling.profile_numeric(stored["weather"])).count("FileScan") == 1
