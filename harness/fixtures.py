@@ -126,13 +126,19 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(raw_sql(name, SPARK, lambda t: "{" + t + "}"), **{source: df})
 
 
+# About one scan split of text: a compressed file is read by one task.
+RAW_RECORDS_PER_FILE = 500_000
+
+
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    """A raw input as CSV files, outer blanks kept."""
+    """A raw input as compressed CSV files, outer blanks kept."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", RAW_RECORDS_PER_FILE)
         .csv(path)
     )
 

@@ -118,6 +118,20 @@ def test_ingest_each_dataset(spark, sf_dir, tmp_path):
         assert ordered(bronze) == ordered(raw)
 
 
+def test_raw_csv_is_compressed_in_files_for_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures, "RAW_RECORDS_PER_FILE", 1000)
+    path = f"{tmp_path}/raw/{fixed.RAW_FILES['airports']}"
+    df = spark.range(4500, numPartitions=1).selectExpr(
+        "concat(' n', id, ' ') AS IATA_CODE", "'X, Y' AS AIRPORT", "'C' AS CITY", "string(NULL) AS STATE", "'USA' AS COUNTRY", "id / 3 AS LATITUDE", "double(-id) AS LONGITUDE"
+    )
+    fixtures.write_raw_csv(df, path)
+    found = glob.glob(f"{path}/*.csv*")
+    assert len(found) == 5 and all(open(f, "rb").read(2) == b"\x1f\x8b" for f in found)
+    files.ingest(spark, "airports", f"{tmp_path}/raw", f"{tmp_path}/bronze")
+    bronze = files.read_bronze(spark, "airports", f"{tmp_path}/bronze")
+    assert ordered(bronze) == ordered(df)
+
+
 def test_one_job_at_a_time(spark, sf_dir, tmp_path):
     base = str(tmp_path)
     for name in ("flights", "airports"):
